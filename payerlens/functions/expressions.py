@@ -28,10 +28,7 @@ def null_aware_hash(columns: Iterable[str]) -> Column:
     ``xxhash64`` skips NULLs, so (1, NULL) and (NULL, 1) would tie; the null
     marker of every column goes into the hash as well.
     """
-    parts: list[Column] = []
-    for name in columns:
-        parts += [F.col(name), F.col(name).isNull()]
-    return F.xxhash64(*parts)
+    return F.expr("xxhash64(" + ", ".join(f"`{c}`, `{c}` IS NULL" for c in columns) + ")")
 
 
 def millions_label(amount: Column) -> Column:

@@ -11,7 +11,6 @@ from payerlens.schemas import (
     DATE_COLUMNS,
     FACT_COLUMNS,
     FLAG,
-    MONEY,
     MONEY_COLUMNS,
     MONTH,
     RAW_COLUMNS,
@@ -33,22 +32,21 @@ def parse(feed: DataFrame) -> DataFrame:
     Doing this row-wise work below the de-duplication keeps the shuffled rows
     narrow; only one boolean stands for all the rules.
     """
-    typed = {c: F.col(c) for c in RAW_COLUMNS}
-    typed |= {c: F.col(c).try_cast("date") for c in DATE_COLUMNS}
-    typed |= {c: F.col(c).try_cast(MONEY) for c in MONEY_COLUMNS}
-    typed[FLAG] = F.col(FLAG).try_cast("boolean")
-
-    valid = (
-        F.col("claim_id").isNotNull()
-        & F.col("member_id").isNotNull()
-        & typed["service_date"].isNotNull()
-        & F.col("claim_status").isin(CLAIM_STATUSES)
-        & (F.col("billed_amount").try_cast("double") >= 0)
-        & typed["billed_amount"].isNotNull()
-    )
-    return feed.select(
-        *[typed[c].alias(c) for c in RAW_COLUMNS],
-        F.coalesce(valid, F.lit(False)).alias(_VALID),
+    types = dict.fromkeys(DATE_COLUMNS, "DATE") | dict.fromkeys(MONEY_COLUMNS, "DECIMAL(18, 2)")
+    types[FLAG] = "BOOLEAN"
+    typed = {c: f"try_cast({c} AS {types[c]})" if c in types else c for c in RAW_COLUMNS}
+    statuses = ", ".join(f"'{s}'" for s in CLAIM_STATUSES)
+    valid = f"""
+        claim_id IS NOT NULL
+        AND member_id IS NOT NULL
+        AND {typed["service_date"]} IS NOT NULL
+        AND claim_status IN ({statuses})
+        AND try_cast(billed_amount AS DOUBLE) >= 0
+        AND {typed["billed_amount"]} IS NOT NULL
+    """
+    return feed.selectExpr(
+        *[f"{expression} AS {name}" for name, expression in typed.items()],
+        f"coalesce({valid}, false) AS {_VALID}",
     )
 
 

@@ -24,7 +24,8 @@ def provider_profile(claims: DataFrame) -> DataFrame:
 def flag_outliers(profile: DataFrame, z_threshold: float = 2.0) -> DataFrame:
     """Adds the cohort mean, the threshold and the flag to a provider profile.
 
-    Mean and sample deviation are taken over the rounded averages. They reach
+    The profile is read twice, for the cohort and for the rows: pass a stored
+    one where it comes from an expensive plan. Mean and sample deviation are taken over the rounded averages. They reach
     the rows as a scalar subquery: no driver round trip, no join. The flag
     compares with the unrounded threshold. One provider has no deviation, so
     its threshold is the mean.
@@ -43,24 +44,24 @@ def flag_outliers(profile: DataFrame, z_threshold: float = 2.0) -> DataFrame:
     )
 
 
-def provider_outliers(claims: DataFrame, z_threshold: float = 2.0) -> DataFrame:
+def provider_outliers(profile: DataFrame, z_threshold: float = 2.0) -> DataFrame:
     """Every provider with its z-score flag."""
-    return flag_outliers(provider_profile(claims).drop("total_paid"), z_threshold)
+    return flag_outliers(profile.drop("total_paid"), z_threshold)
 
 
-def top_providers(claims: DataFrame, n: int = 10, z_threshold: float = 2.0) -> DataFrame:
+def top_providers(profile: DataFrame, n: int = 10, z_threshold: float = 2.0) -> DataFrame:
     """The n providers with the highest paid total and their outlier flag.
 
     Totals and flags come from one provider profile, so the fact is aggregated
     by provider once and nothing can fan out.
     """
-    return _top_by_paid(flag_outliers(provider_profile(claims), z_threshold), n).select(
+    return _top_by_paid(flag_outliers(profile, z_threshold), n).select(
         *_KEYS, "total_paid", "claim_count", "is_cost_outlier"
     )
 
 
 def top_providers_from_tables(claims: DataFrame, outliers: DataFrame, n: int = 10) -> DataFrame:
-    """The same report, with flags looked up in a stored outlier table.
+    """The same report straight from the fact, with flags from a stored outlier table.
 
     The fact is reduced to n rows before the left join. The join uses both keys
     of the outlier table: on provider_id alone, a provider with two types would

@@ -5,18 +5,24 @@ from __future__ import annotations
 import argparse
 import sys
 from collections.abc import Sequence
-from functools import partial
 from typing import NamedTuple
 
 from pyspark.sql import SparkSession
 
 from payerlens.operators.cleaning import clean
-from payerlens.operators.providers import provider_outliers
+from payerlens.operators.providers import provider_outliers, provider_profile
 from payerlens.plans.reports import AGGREGATES, REPORTS
+from payerlens.plans.workspace import store
 from payerlens.session import build_session
 from payerlens.sources.catalog import DATABASE, list_tables, register_curated
 from payerlens.sources.raw_csv import load_raw
-from payerlens.sources.tables import read_fact, write_aggregate, write_fact, write_fact_csv
+from payerlens.sources.tables import (
+    read_fact,
+    table_path,
+    write_aggregate,
+    write_fact,
+    write_fact_csv,
+)
 
 
 class Audit(NamedTuple):
@@ -42,11 +48,13 @@ def run_pipeline(
     fact = read_fact(spark, output_base)
     if fact_csv:
         write_fact_csv(spark, output_base)
+    profile = store(provider_profile(fact), table_path(output_base, "_work/provider_profile"))
     for table, report in AGGREGATES.items():
-        build = REPORTS[report].build
         if report == "provider_outliers":
-            build = partial(provider_outliers, z_threshold=z_threshold)
-        write_aggregate(build(fact), output_base, table)
+            aggregate = provider_outliers(profile, z_threshold)
+        else:
+            aggregate = REPORTS[report].build(fact)
+        write_aggregate(aggregate, output_base, table)
     # The stored count comes from file footers; counting the feed is one scan
     # without a shuffle. Accumulators would count retried tasks twice.
     return Audit(raw.count(), fact.count())

@@ -11,11 +11,12 @@ from pyspark.sql import functions as F
 from payerlens.functions import dollars
 from payerlens.operators.cleaning import audit_rows, clean, keep_one_per_key
 from payerlens.operators.members import flag_inpatient, readmission_days
+from payerlens.operators.providers import provider_profile
 from payerlens.operators.reconcile import reconcile
 from payerlens.operators.spend import monthly_spend
 from payerlens.plans.analyst_sql import run_sql
-from payerlens.plans.reports import FEEDS, REPORTS, feed_from_claims
-from payerlens.plans.workspace import shared_folder
+from payerlens.plans.reports import FEEDS, FROM_PROFILE, REPORTS
+from payerlens.plans.workspace import shared_folder, store
 from payerlens.schemas import FACT_COLUMNS, FLAG, INPATIENT, MONEY, MONEY_COLUMNS, MONTH
 from payerlens.sources.order_feed import claims_feed
 from payerlens.sources.tables import (
@@ -29,8 +30,8 @@ from payerlens.sources.tables import (
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-# Only these read the readmission flag; all others skip the join that sets it.
-_NEEDS_FLAG = {"readmissions", "readmission_bars"}
+# Reports that read the readmission flag; all others skip the join that sets it.
+_NEEDS_FLAG = {"readmissions"}
 
 
 def _claims(spark: SparkSession, tables: str, with_flag: bool = False) -> DataFrame:
@@ -78,21 +79,38 @@ def load_path_partition(spark: SparkSession, tables: str) -> DataFrame:
 
 
 def reconcile_monthly(spark: SparkSession, tables: str) -> DataFrame:
-    """Stored monthly aggregate against the same question asked in SQL of the fact."""
+    """Stored monthly aggregate against the same question asked in SQL of the fact.
+
+    The columns that both sides need are stored once, so the feed is cleaned once.
+    """
     base, name = shared_folder(spark, "reconcile_monthly"), "agg_monthly_spend"
-    claims = _claims(spark, tables)
+    columns = [MONTH, "plan_type", "member_id", "billed_amount", "paid_amount"]
+    claims = store(_claims(spark, tables).select(*columns), table_path(base, FACT))
     write_aggregate(monthly_spend(claims), base, name)
     return reconcile(
         read_aggregate(spark, base, name), run_sql(spark, "monthly_spend", claims=claims), name
     )
 
 
+def _source(spark: SparkSession, tables: str, report: str) -> DataFrame:
+    """What a report reads: the clean claims, or the provider profile.
+
+    The profile is stored first because its reports read it twice; it has one
+    row per provider.
+    """
+    claims = _claims(spark, tables, with_flag=report in _NEEDS_FLAG)
+    if report in FROM_PROFILE:
+        return store(provider_profile(claims), shared_folder(spark, report))
+    return claims
+
+
 def _report(spark: SparkSession, tables: str, name: str) -> DataFrame:
-    return REPORTS[name].run(_claims(spark, tables, name in _NEEDS_FLAG))
+    return REPORTS[name].run(_source(spark, tables, name))
 
 
 def _feed(spark: SparkSession, tables: str, name: str) -> DataFrame:
-    return feed_from_claims(name, _claims(spark, tables, name in _NEEDS_FLAG))
+    source, feed = FEEDS[name]
+    return feed.run(REPORTS[source].build(_source(spark, tables, source)))
 
 
 QUERIES: dict[str, Query] = {

@@ -18,16 +18,20 @@ from payerlens.schemas import MONTH
 
 class Report(NamedTuple):
     build: Callable[[DataFrame], DataFrame]
-    # Column names; a leading minus sorts in descending order.
+    # Column names; a leading minus sorts in descending order. Top-k reports come
+    # sorted and name none.
     order: tuple[str, ...]
 
     def run(self, source: DataFrame) -> DataFrame:
-        return self.build(source).orderBy(
+        result = self.build(source)
+        if not self.order:
+            return result
+        return result.orderBy(
             *[F.desc(c[1:]) if c.startswith("-") else F.asc(c) for c in self.order]
         )
 
 
-# Reports over the curated fact. Keys behind a measure make its ties stable.
+# Reports over the curated fact; those in FROM_PROFILE take a provider profile. Keys behind a measure make its ties stable.
 REPORTS: dict[str, Report] = {
     "monthly_spend": Report(spend.monthly_spend, (MONTH, "plan_type")),
     "diagnosis_cost": Report(
@@ -50,17 +54,17 @@ REPORTS: dict[str, Report] = {
     "submission_lag": Report(
         providers.submission_lag, ("-avg_days_to_submit", "provider_type")
     ),
-    "high_utilizers": Report(members.high_utilizers, ("-total_paid", "member_id")),
+    "high_utilizers": Report(members.high_utilizers, ()),
     "denial_trend": Report(denials.denial_trend, (MONTH,)),
-    "top_providers": Report(
-        providers.top_providers, ("-total_paid", "provider_id", "provider_type")
-    ),
+    "top_providers": Report(providers.top_providers, ()),
     "age_diagnosis_cost": Report(
         spend.age_diagnosis_cost,
         ("member_age_band", "-total_paid", "diagnosis_category"),
     ),
 }
 
+FROM_PROFILE = {"provider_outliers", "top_providers"}
+
 # Stored aggregate table -> report that fills it.
 AGGREGATES = {
     "agg_monthly_spend": "monthly_spend",
@@ -92,7 +96,3 @@ FEEDS: dict[str, tuple[str, Report]] = {
     ),
 }
 
-
-def feed_from_claims(name: str, claims: DataFrame) -> DataFrame:
-    source, report = FEEDS[name]
-    return report.run(REPORTS[source].build(claims))

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _SETTING = "spark.checkpoint.dir"
 
@@ -22,3 +22,13 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
             raise ValueError(f"set {_SETTING} to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="payerlens-")
     return f"{base.rstrip('/')}/payerlens/{purpose}-{uuid.uuid4().hex}"
+
+
+def store(df: DataFrame, path: str) -> DataFrame:
+    """Writes ``df`` as a table and returns the stored copy.
+
+    For a result that is read more than once and expensive to compute: a lost
+    executor then costs nothing that was already stored.
+    """
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from payerlens.operators.members import with_readmission_flag
@@ -18,7 +18,6 @@ from payerlens.schemas import (
     DENIAL_REASONS,
     DIAGNOSIS_CATEGORIES,
     FLAG,
-    MONEY,
     PLAN_TYPES,
     PROCEDURE_CATEGORIES,
     PROVIDER_TYPES,
@@ -33,6 +32,7 @@ PLAN_OF_SEGMENT = {
     "FURNITURE": "EPO",
     "HOUSEHOLD": "Medicare Advantage",
 }
+OTHER_PLAN = "Medicaid MCO"
 CLAIM_TYPE_OF_LINE = [
     "inpatient", "outpatient", "outpatient", "pharmacy",
     "professional", "professional", "emergency",
@@ -54,24 +54,23 @@ def claims_feed(spark: SparkSession, tables: str, with_flag: bool = False) -> Da
         ),
         "l_orderkey", "l_linenumber",
     )
-    # The two narrow tables meet first; no side is forced to be broadcast, Spark
-    # does so where its size estimate or the measured size allows it.
+    # The two narrow tables meet first, so the wide lines are shuffled once for
+    # both. No side is forced to be broadcast: Spark does so where the estimated
+    # or measured size allows it, and splits skewed keys otherwise.
     members = table("orders", "o_orderkey", "o_custkey").join(
         table("customer", "c_custkey", "c_nationkey", "c_mktsegment"),
         F.col("o_custkey") == F.col("c_custkey"),
     )
     parts = table("part", "p_partkey", "p_size")
-    claims = (
-        lines.join(members, F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(parts, F.col("l_partkey") == F.col("p_partkey"))
-        .withColumn("copies", _copies())
-        .select(*_claim_columns(), "copies")
+    joined = lines.join(parts, F.col("l_partkey") == F.col("p_partkey")).join(
+        members, F.col("l_orderkey") == F.col("o_orderkey")
     )
+    claims = _with_amounts(joined).selectExpr(*[f"{e} AS {c}" for c, e in _CLAIM.items()])
     if with_flag:
         claims = with_readmission_flag(claims)
     else:
-        claims = claims.withColumn(FLAG, F.lit(None).cast("boolean"))
-    return claims.withColumn("copy", F.explode("copies")).select(*RAW_COLUMNS)
+        claims = claims.selectExpr("*", f"CAST(NULL AS BOOLEAN) AS {FLAG}")
+    return claims.select(*RAW_COLUMNS, F.explode("copies")).drop("col")
 
 
 def _spread(scan: DataFrame, *keys: str) -> DataFrame:
@@ -87,75 +86,80 @@ def _spread(scan: DataFrame, *keys: str) -> DataFrame:
     return scan.repartition(cores, *keys)
 
 
-def _pick(index: Column, values: Sequence[str]) -> Column:
-    return F.get(F.array(*[F.lit(v) for v in values]), (index % len(values)).cast("int"))
+def _pick(index: str, values: Sequence[str]) -> str:
+    names = ", ".join(f"'{v}'" for v in values)
+    return f"get(array({names}), CAST({index} % {len(values)} AS INT))"
 
 
-def _padded(prefix: str, key: str, width: int) -> Column:
+def _padded(prefix: str, key: str, width: int) -> str:
     """``prefix`` and a zero-padded key; longer keys stay whole."""
-    digits = F.col(key).cast("string")
-    return F.concat(
-        F.lit(prefix), F.lpad(digits, F.greatest(F.length(digits), F.lit(width)), F.lit("0"))
-    )
+    digits = f"CAST({key} AS STRING)"
+    return f"concat('{prefix}', lpad({digits}, greatest(length({digits}), {width}), '0'))"
 
 
-def _copies() -> Column:
-    repeated = (F.col("l_linenumber") == 1) & (F.col("l_partkey") % 10 == 0)
-    return F.when(repeated, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
-
-
-def _claim_columns() -> list[Column]:
-    bucket = (F.col("l_orderkey") + F.col("l_partkey")) % 100
-    service = F.col("l_shipdate").cast("date")
-    quantity = F.col("l_quantity").cast("int")
-
-    plan = F.lit("Medicaid MCO")
-    for segment, name in PLAN_OF_SEGMENT.items():
-        plan = F.when(F.col("c_mktsegment") == segment, F.lit(name)).otherwise(plan)
-
-    sign = F.when(bucket == 98, -1).otherwise(1)
-    # Seeded cost outliers: these providers bill three times as much.
-    factor = F.when(F.col("l_suppkey") % 33 == 7, 3).otherwise(1)
-    billed = (sign * factor * F.col("l_extendedprice").cast("decimal(15,2)")).cast(MONEY)
-    share = F.lit(0.55).cast("decimal(4,2)") + F.col("l_discount").cast("decimal(4,2)") * F.lit(
-        3.5
-    ).cast("decimal(2,1)")
-    part_share = F.lit(0.4).cast("decimal(3,1)") + F.col("l_tax").cast("decimal(4,2)") * F.lit(
-        5.625
-    ).cast("decimal(4,3)")
-    denied, partial = bucket < 8, (bucket >= 8) & (bucket < 12)
-    allowed = F.when(denied, F.lit(0).cast(MONEY)).otherwise((billed * share).cast(MONEY))
-    paid = F.when(partial, (allowed * part_share).cast(MONEY)).otherwise(allowed)
-    status = (
-        F.when(denied, "denied")
-        .when(partial, "partially_paid")
-        .when(bucket == 96, "Denied")
-        .when(bucket == 99, "pending")
-        .otherwise("paid")
-    )
-    identity = F.md5(
-        F.concat_ws(
-            "|", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
-            service.cast("string"), quantity,
+def _plan() -> str:
+    arms = " ".join(f"WHEN '{s}' THEN '{p}'" for s, p in PLAN_OF_SEGMENT.items())
+    return f"CASE c_mktsegment {arms} ELSE '{OTHER_PLAN}' END"
+
+
+def _with_amounts(lines: DataFrame) -> DataFrame:
+    """Bucket, dates and the three amounts.
+
+    Each amount builds on the one before; adding them in steps lets Spark
+    evaluate every decimal product once. Seeded outliers bill three times as much.
+    """
+    return (
+        lines.selectExpr(
+            "*",
+            "(l_orderkey + l_partkey) % 100 AS bucket",
+            "CAST(l_shipdate AS DATE) AS service_date",
+            "CAST(l_quantity AS INT) AS quantity",
+        )
+        .selectExpr(
+            "*",
+            """CAST(IF(bucket = 98, -1, 1) * IF(l_suppkey % 33 = 7, 3, 1)
+                    * CAST(l_extendedprice AS DECIMAL(15, 2)) AS DECIMAL(18, 2))
+               AS billed_amount""",
+        )
+        .selectExpr(
+            "*",
+            """IF(bucket < 8, CAST(0 AS DECIMAL(18, 2)), CAST(
+                   billed_amount * (0.55BD + CAST(l_discount AS DECIMAL(4, 2)) * 3.5BD)
+                   AS DECIMAL(18, 2))) AS allowed_amount""",
+        )
+        .selectExpr(
+            "*",
+            """IF(bucket BETWEEN 8 AND 11, CAST(
+                   allowed_amount * (0.4BD + CAST(l_tax AS DECIMAL(4, 2)) * 5.625BD)
+                   AS DECIMAL(18, 2)), allowed_amount) AS paid_amount""",
         )
     )
-    claim = {
-        "claim_id": identity,
-        "member_id": F.when(bucket != 97, _padded("MBR-", "o_custkey", 6)),
-        "provider_id": _padded("PRV-", "l_suppkey", 5),
-        "provider_type": _pick(F.col("l_suppkey"), PROVIDER_TYPES),
-        "plan_type": plan,
-        "member_age_band": _pick(F.col("o_custkey"), AGE_BANDS),
-        "member_state": _pick(F.col("c_nationkey"), STATES),
-        "claim_type": _pick(F.col("l_linenumber") - 1, CLAIM_TYPE_OF_LINE),
-        "diagnosis_category": _pick(F.col("p_size"), DIAGNOSIS_CATEGORIES),
-        "procedure_category": _pick(F.col("l_partkey"), PROCEDURE_CATEGORIES),
-        "service_date": service,
-        "submission_date": F.date_add(service, quantity % 15),
-        "billed_amount": billed,
-        "allowed_amount": allowed,
-        "paid_amount": paid,
-        "claim_status": status,
-        "denial_reason": F.when(denied, _pick(F.col("l_partkey"), DENIAL_REASONS)),
-    }
-    return [column.alias(name) for name, column in claim.items()]
+
+
+# The claim of one line, apart from its readmission flag.
+_CLAIM = {
+    "claim_id": """md5(concat_ws('|', l_orderkey, l_partkey, l_suppkey, l_linenumber,
+                                 CAST(service_date AS STRING), quantity))""",
+    "member_id": f"IF(bucket <> 97, {_padded('MBR-', 'o_custkey', 6)}, NULL)",
+    "provider_id": _padded("PRV-", "l_suppkey", 5),
+    "provider_type": _pick("l_suppkey", PROVIDER_TYPES),
+    "plan_type": _plan(),
+    "member_age_band": _pick("o_custkey", AGE_BANDS),
+    "member_state": _pick("c_nationkey", STATES),
+    "claim_type": _pick("(l_linenumber - 1)", CLAIM_TYPE_OF_LINE),
+    "diagnosis_category": _pick("p_size", DIAGNOSIS_CATEGORIES),
+    "procedure_category": _pick("l_partkey", PROCEDURE_CATEGORIES),
+    "service_date": "service_date",
+    "submission_date": "date_add(service_date, quantity % 15)",
+    "billed_amount": "billed_amount",
+    "allowed_amount": "allowed_amount",
+    "paid_amount": "paid_amount",
+    "claim_status": """CASE WHEN bucket < 8 THEN 'denied'
+                            WHEN bucket < 12 THEN 'partially_paid'
+                            WHEN bucket = 96 THEN 'Denied'
+                            WHEN bucket = 99 THEN 'pending'
+                            ELSE 'paid' END""",
+    "denial_reason": f"IF(bucket < 8, {_pick('l_partkey', DENIAL_REASONS)}, NULL)",
+    # Some inpatient claims arrive twice.
+    "copies": "IF(l_linenumber = 1 AND l_partkey % 10 = 0, array(1, 2), array(1))",
+}
