@@ -1,0 +1,45 @@
+from datetime import date
+
+from conftest import by, rows
+
+from payerlens.operators.denials import denial_by_provider_type, denial_by_reason, denial_trend
+from payerlens.operators.feeds import denial_rate_bars
+
+DENIED = {"claim_status": "denied", "denial_reason": "out_of_network", "billed_amount": "5"}
+
+
+def test_rate_by_type_includes_types_without_denials(claims):
+    got = by(denial_by_provider_type(claims(DENIED, {}, {}, {"provider_type": "hospital"})),
+             "provider_type")
+    assert got["lab"] == {"provider_type": "lab", "total_claims": 3, "denied_claims": 1,
+                          "denial_rate": 0.3333}
+    assert got["hospital"]["denied_claims"] == 0 and got["hospital"]["denial_rate"] == 0.0
+
+
+def test_rate_tie_rounds_up(claims):
+    got = rows(denial_by_provider_type(claims(DENIED, *[{}] * 31)))
+    assert got[0]["denial_rate"] == 0.0313
+
+
+def test_status_is_case_sensitive(claims):
+    got = rows(denial_by_provider_type(claims(DENIED | {"claim_status": "Denied"})))
+    assert got[0]["denied_claims"] == 0
+
+
+def test_missing_reason_is_a_group(claims):
+    got = by(denial_by_reason(claims(DENIED, DENIED, DENIED | {"denial_reason": None}, {})),
+             "denial_reason")
+    assert got["out_of_network"]["denied_claims"] == 2
+    assert got["out_of_network"]["billed_amount_denied"] == 10.0
+    assert got[None]["denied_claims"] == 1
+
+
+def test_trend(claims):
+    got = by(denial_trend(claims(DENIED, {}, {"service_date": date(2026, 3, 1)})),
+             "service_month")
+    assert got["2026-01"]["denial_rate"] == 0.5 and got["2026-03"]["denial_rate"] == 0.0
+
+
+def test_percent_label(claims):
+    bars = rows(denial_rate_bars(denial_by_provider_type(claims(DENIED, {}, {}))))
+    assert bars[0]["label"] == "33.3%"

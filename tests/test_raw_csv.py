@@ -1,0 +1,52 @@
+import pytest
+from conftest import RAW_DEFAULT, rows
+
+from payerlens.operators.cleaning import clean
+from payerlens.schemas import RAW_COLUMNS
+from payerlens.sources.raw_csv import load_raw
+
+
+def write_csv(path, header, *lines):
+    path.write_text("\n".join([",".join(header), *[",".join(x) for x in lines]]) + "\n")
+    return str(path)
+
+
+def line(header, **values):
+    merged = {c: v or "" for c, v in RAW_DEFAULT.items()} | values
+    return [merged.get(c, "x") for c in header]
+
+
+def test_missing_column_is_named(spark, tmp_path):
+    header = [c for c in RAW_COLUMNS if c != "paid_amount"]
+    path = write_csv(tmp_path / "a.csv", header, line(header))
+    with pytest.raises(ValueError, match="paid_amount"):
+        load_raw(spark, path)
+
+
+def test_extra_and_reordered_columns_bind_by_name(spark, tmp_path):
+    header = ["extra", *reversed(RAW_COLUMNS)]
+    path = write_csv(tmp_path / "a.csv", header, line(header))
+    frame = load_raw(spark, path)
+    assert frame.columns == RAW_COLUMNS
+    assert rows(frame) == [RAW_DEFAULT]
+
+
+def test_blank_field_is_null(spark, tmp_path):
+    path = write_csv(tmp_path / "a.csv", RAW_COLUMNS, line(RAW_COLUMNS, denial_reason=""))
+    assert rows(load_raw(spark, path))[0]["denial_reason"] is None
+
+
+def test_directory_is_read_whole(spark, tmp_path):
+    for n in range(3):
+        write_csv(tmp_path / f"{n}.csv", RAW_COLUMNS, line(RAW_COLUMNS, claim_id=f"c{n}"))
+    frame = load_raw(spark, str(tmp_path))
+    assert frame.count() == 3
+    assert clean(frame).count() == 3
+
+
+def test_file_with_another_column_order_fails_instead_of_being_misread(spark, tmp_path):
+    write_csv(tmp_path / "a.csv", RAW_COLUMNS, line(RAW_COLUMNS))
+    header = list(reversed(RAW_COLUMNS))
+    write_csv(tmp_path / "b.csv", header, line(header, claim_id="c2"))
+    with pytest.raises(Exception, match="header"):
+        load_raw(spark, str(tmp_path)).collect()
