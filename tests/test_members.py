@@ -87,3 +87,32 @@ def test_high_utilizers(claims):
     assert [r["member_id"] for r in got] == [f"m{n:02}" for n in range(25)]
     assert got[0]["inpatient_claim_count"] == 3 and got[0]["total_paid"] == 15.0
     assert "TakeOrderedAndProject" in plan_of(high_utilizers(frame))
+
+
+def test_hot_member_and_day_is_split_in_the_join(spark):
+    """A third of the claims on one member and day: the join reads them in several tasks."""
+    feed = spark.range(0, 600_000, 1, 16).selectExpr(
+        "concat('c', id) AS claim_id",
+        "IF(id % 3 = 0, 'hot', concat('m', id % 50000)) AS member_id",
+        "date_add(DATE'2026-01-01', IF(id % 3 = 0, 0, CAST(id % 400 AS INT))) AS service_date",
+        "'inpatient' AS claim_type",
+        "md5(CAST(id AS STRING)) AS payload",
+    )
+    settings = {
+        "spark.sql.shuffle.partitions": "64",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "300k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256k",
+    }
+    before = {key: spark.conf.get(key) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        result = with_readmission_flag(feed).groupBy("is_readmission_within_30d").agg(
+            {"payload": "max", "*": "count"}
+        )
+        assert sum(r["count(1)"] for r in result.collect()) == 600_000
+        assert "SortMergeJoin(skew=true)" in plan_of(result)
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
