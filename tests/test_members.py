@@ -94,7 +94,7 @@ def test_hot_member_and_day_is_split_in_the_join(spark):
     feed = spark.range(0, 600_000, 1, 16).selectExpr(
         "concat('c', id) AS claim_id",
         "IF(id % 3 = 0, 'hot', concat('m', id % 50000)) AS member_id",
-        "date_add(DATE'2026-01-01', IF(id % 3 = 0, 0, CAST(id % 400 AS INT))) AS service_date",
+        "date_add(DATE'2026-01-01', IF(id % 3 = 0, 0, CAST(id % 397 AS INT))) AS service_date",
         "'inpatient' AS claim_type",
         "md5(CAST(id AS STRING)) AS payload",
     )
