@@ -19,14 +19,15 @@ def register_curated(spark: SparkSession, base: str, database: str = DATABASE) -
     """External tables for the fact and the six aggregates.
 
     The fact's months become visible through partition recovery; run this again
-    after new months have been written.
+    after the fact has been rewritten. Months that are gone are dropped as well,
+    because every pipeline run reloads the whole fact.
     """
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {database}.{FACT} ({columns_ddl(FACT_SCHEMA)}) "
         f"USING PARQUET PARTITIONED BY ({MONTH}) {_location(table_path(base, FACT))}"
     )
-    spark.sql(f"MSCK REPAIR TABLE {database}.{FACT}")
+    spark.sql(f"MSCK REPAIR TABLE {database}.{FACT} SYNC PARTITIONS")
     for name, ddl in AGGREGATE_DDL.items():
         spark.sql(
             f"CREATE TABLE IF NOT EXISTS {database}.{name} ({ddl}) "

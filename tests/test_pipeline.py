@@ -1,14 +1,24 @@
+from datetime import date
+
 import pytest
 from conftest import TABLES, rows
 from pyspark.sql import functions as F
 
+from payerlens.operators.cleaning import clean
+from payerlens.operators.providers import provider_outliers, provider_profile
 from payerlens.operators.reconcile import reconcile, row_differences
 from payerlens.plans.analyst_sql import ANALYST_SQL, run_sql
-from payerlens.plans.pipeline import run_pipeline
+from payerlens.plans.pipeline import main, run_pipeline
 from payerlens.plans.reports import AGGREGATES, REPORTS
 from payerlens.sources.catalog import list_tables, load_warehouse, register_curated
 from payerlens.sources.order_feed import claims_feed
-from payerlens.sources.tables import read_aggregate, read_aggregate_csv, read_fact, table_path
+from payerlens.sources.tables import (
+    read_aggregate,
+    read_aggregate_csv,
+    read_fact,
+    table_path,
+    write_fact,
+)
 
 DATABASE = "claims_test"
 
@@ -33,8 +43,6 @@ def test_audit(built):
 
 
 def test_csv_feed_gives_the_same_fact_as_the_tables(spark, built):
-    from payerlens.operators.cleaning import clean
-
     direct = clean(claims_feed(spark, TABLES, with_flag=True))
     assert row_differences(direct, read_fact(spark, built[0])).count() == 0
 
@@ -84,18 +92,38 @@ def test_rerun_overwrites_in_place(spark, raw, tmp_path):
     assert tuple(audit) == (6087, 5727)
 
 
+def test_command_line(spark, raw, tmp_path, capsys):
+    main(["--input", raw, "--output-base", str(tmp_path / "c"), "--z-threshold", "1.5",
+          "--no-fact-csv", "--register", "--database", "claims_cli"])
+    printed = capsys.readouterr().out
+    assert "Raw rows: 6087, clean rows: 5727" in printed
+    assert "agg_readmissions" in printed
+    flagged = spark.table("claims_cli.agg_provider_outliers").where("is_cost_outlier")
+    fact = read_fact(spark, str(tmp_path / "c"))
+    expected = provider_outliers(provider_profile(fact), 1.5).where("is_cost_outlier")
+    assert row_differences(flagged, expected).count() == 0
+
+
+def test_registration_follows_a_reload(spark, claims, tmp_path):
+    base, name = str(tmp_path), "claims_reload"
+    for month in (1, 2):
+        write_fact(claims({"service_date": date(2026, month, 1)}), base)
+        register_curated(spark, base, name)
+        months = [r[0] for r in spark.sql(
+            f"SELECT service_month FROM {name}.claims").collect()]
+        assert months == [f"2026-{month:02}"]
+        assert spark.sql(f"SHOW PARTITIONS {name}.claims").count() == 1
+
+
 @pytest.mark.parametrize("name", sorted(ANALYST_SQL))
 def test_sql_on_catalog_tables_equals_the_operator(spark, built, name):
     fact = spark.table(f"{DATABASE}.claims")
     tables = {"claims": fact}
+    source = fact
     if name == "top_providers":
         tables["outliers"] = spark.table(f"{DATABASE}.agg_provider_outliers")
-    if name == "top_providers":
-        from payerlens.operators.providers import provider_profile
-
-        ours = REPORTS[name].run(provider_profile(fact))
-    else:
-        ours = REPORTS[name].run(fact)
+        source = provider_profile(fact)
+    ours = REPORTS[name].run(source)
     assert row_differences(ours, run_sql(spark, name, **tables)).count() == 0
 
 
