@@ -21,14 +21,14 @@ def provider_profile(claims: DataFrame) -> DataFrame:
     )
 
 
-def flag_outliers(profile: DataFrame, z_threshold: float = 2.0) -> DataFrame:
-    """Adds the cohort mean, the threshold and the flag to a provider profile.
+def provider_outliers(profile: DataFrame, z_threshold: float = 2.0) -> DataFrame:
+    """Every provider of a profile with its z-score flag.
 
     The profile is read twice, for the cohort and for the rows: pass a stored
-    one where it comes from an expensive plan. Mean and sample deviation are taken over the rounded averages. They reach
-    the rows as a scalar subquery: no driver round trip, no join. The flag
-    compares with the unrounded threshold. One provider has no deviation, so
-    its threshold is the mean.
+    one where it comes from an expensive plan. Mean and sample deviation are
+    taken over the rounded averages. They reach the rows as a scalar subquery:
+    no driver round trip, no join. The flag compares with the unrounded
+    threshold. One provider has no deviation, so its threshold is the mean.
     """
     cohort = profile.agg(
         F.struct(
@@ -37,43 +37,32 @@ def flag_outliers(profile: DataFrame, z_threshold: float = 2.0) -> DataFrame:
         ).alias("cohort")
     ).scalar()
     threshold = cohort["mean"] + F.lit(float(z_threshold)) * cohort["deviation"]
-    return (
-        profile.withColumn("cohort_mean_avg_billed", F.round(cohort["mean"], 2))
-        .withColumn("outlier_threshold", F.round(threshold, 2))
-        .withColumn("is_cost_outlier", F.col("avg_billed") > threshold)
+    return profile.select(
+        *_KEYS,
+        "avg_billed",
+        "claim_count",
+        "total_billed",
+        F.round(cohort["mean"], 2).alias("cohort_mean_avg_billed"),
+        F.round(threshold, 2).alias("outlier_threshold"),
+        (F.col("avg_billed") > threshold).alias("is_cost_outlier"),
     )
 
 
-def provider_outliers(profile: DataFrame, z_threshold: float = 2.0) -> DataFrame:
-    """Every provider with its z-score flag."""
-    return flag_outliers(profile.drop("total_paid"), z_threshold)
-
-
-def top_providers(profile: DataFrame, n: int = 10, z_threshold: float = 2.0) -> DataFrame:
-    """The n providers with the highest paid total and their outlier flag.
+def top_providers(rollup: DataFrame, outliers: DataFrame, n: int = 10) -> DataFrame:
+    """The n providers with the highest paid total, each with its outlier flag.
 
-    Totals and flags come from one provider profile, so the fact is aggregated
-    by provider once and nothing can fan out.
+    ``rollup`` is aggregated already and reduced to n rows before the left join,
+    so the fact never meets the outlier table. The join uses both keys of that
+    table: on provider_id alone, a provider with two types would have every
+    claim counted twice. Providers without a flag keep their place.
     """
-    return _top_by_paid(flag_outliers(profile, z_threshold), n).select(
-        *_KEYS, "total_paid", "claim_count", "is_cost_outlier"
+    # The keys break ties: they decide who is in the list.
+    top = (
+        rollup.select(*_KEYS, "total_paid", "claim_count")
+        .orderBy(F.desc("total_paid"), *_KEYS)
+        .limit(n)
+        .alias("t")
     )
-
-
-def top_providers_from_tables(claims: DataFrame, outliers: DataFrame, n: int = 10) -> DataFrame:
-    """The same report straight from the fact, with flags from a stored outlier table.
-
-    The fact is reduced to n rows before the left join. The join uses both keys
-    of the outlier table: on provider_id alone, a provider with two types would
-    have every claim counted twice.
-    """
-    top = _top_by_paid(
-        claims.groupBy(*_KEYS).agg(
-            dollars(F.sum("paid_amount")).alias("total_paid"),
-            F.count("*").alias("claim_count"),
-        ),
-        n,
-    ).alias("t")
     flags = outliers.select(*_KEYS, "is_cost_outlier").alias("o")
     same = (F.col("t.provider_id") == F.col("o.provider_id")) & F.col(
         "t.provider_type"
@@ -81,11 +70,6 @@ def top_providers_from_tables(claims: DataFrame, outliers: DataFrame, n: int = 1
     return top.join(flags, same, "left").select("t.*", "o.is_cost_outlier")
 
 
-def _top_by_paid(rollup: DataFrame, n: int) -> DataFrame:
-    # The keys break ties: they decide who is in the list.
-    return rollup.orderBy(F.desc("total_paid"), *_KEYS).limit(n)
-
-
 def submission_lag(claims: DataFrame) -> DataFrame:
     """Average days from service to submission. Missing dates do not count in the
     average but do count as claims."""

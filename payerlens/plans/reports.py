@@ -18,8 +18,8 @@ from payerlens.schemas import MONTH
 
 class Report(NamedTuple):
     build: Callable[[DataFrame], DataFrame]
-    # Column names; a leading minus sorts in descending order. Top-k reports come
-    # sorted and name none.
+    # Column names; a leading minus sorts in descending order. A report that
+    # ends in a top-k is sorted already and names none.
     order: tuple[str, ...]
 
     def run(self, source: DataFrame) -> DataFrame:
@@ -56,7 +56,10 @@ REPORTS: dict[str, Report] = {
     ),
     "high_utilizers": Report(members.high_utilizers, ()),
     "denial_trend": Report(denials.denial_trend, (MONTH,)),
-    "top_providers": Report(providers.top_providers, ()),
+    "top_providers": Report(
+        lambda profile: providers.top_providers(profile, providers.provider_outliers(profile)),
+        ("-total_paid", "provider_id", "provider_type"),
+    ),
     "age_diagnosis_cost": Report(
         spend.age_diagnosis_cost,
         ("member_age_band", "-total_paid", "diagnosis_category"),
