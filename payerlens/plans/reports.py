@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from payerlens.operators import denials, feeds, members, providers, spend
@@ -22,16 +22,16 @@ class Report(NamedTuple):
     # ends in a top-k is sorted already and names none.
     order: tuple[str, ...]
 
+    def sort_columns(self) -> list[Column]:
+        return [F.desc(c[1:]) if c.startswith("-") else F.asc(c) for c in self.order]
+
     def run(self, source: DataFrame) -> DataFrame:
         result = self.build(source)
-        if not self.order:
-            return result
-        return result.orderBy(
-            *[F.desc(c[1:]) if c.startswith("-") else F.asc(c) for c in self.order]
-        )
+        return result.orderBy(*self.sort_columns()) if self.order else result
 
 
-# Reports over the curated fact; those in FROM_PROFILE take a provider profile. Keys behind a measure make its ties stable.
+# Reports over the curated fact; those in FROM_PROFILE take a provider profile.
+# Keys behind a measure make its ties stable.
 REPORTS: dict[str, Report] = {
     "monthly_spend": Report(spend.monthly_spend, (MONTH, "plan_type")),
     "diagnosis_cost": Report(

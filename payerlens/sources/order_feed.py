@@ -18,7 +18,6 @@ from payerlens.schemas import (
     DENIAL_REASONS,
     DIAGNOSIS_CATEGORIES,
     FLAG,
-    PLAN_TYPES,
     PROCEDURE_CATEGORIES,
     PROVIDER_TYPES,
     RAW_COLUMNS,

@@ -8,8 +8,10 @@ from payerlens.operators.cleaning import clean
 from payerlens.operators.providers import provider_outliers, provider_profile
 from payerlens.operators.reconcile import reconcile, row_differences
 from payerlens.plans.analyst_sql import ANALYST_SQL, run_sql
+from payerlens.plans.analytics import ANALYST_REPORTS, analyst_reports, chart_feeds
+from payerlens.plans.analytics import main as analytics_main
 from payerlens.plans.pipeline import main, run_pipeline
-from payerlens.plans.reports import AGGREGATES, REPORTS
+from payerlens.plans.reports import AGGREGATES, FEEDS, REPORTS
 from payerlens.sources.catalog import list_tables, load_warehouse, register_curated
 from payerlens.sources.order_feed import claims_feed
 from payerlens.sources.tables import (
@@ -104,6 +106,40 @@ def test_command_line(spark, raw, tmp_path, capsys):
     assert row_differences(flagged, expected).count() == 0
 
 
+def test_analyst_reports_equal_their_sql(spark, built):
+    fact = read_fact(spark, built[0])
+    outliers = read_aggregate(spark, built[0], "agg_provider_outliers")
+    reports = analyst_reports(fact, outliers)
+    assert list(reports) == ANALYST_REPORTS
+    for name, ours in reports.items():
+        tables = {"claims": fact} | ({"outliers": outliers} if name == "top_providers" else {})
+        assert row_differences(ours, run_sql(spark, name, **tables)).count() == 0
+    top = [r["total_paid"] for r in reports["top_providers"].collect()]
+    assert len(top) == 10 and top == sorted(top, reverse=True)
+
+
+def test_chart_feeds_from_stored_copies(spark, built):
+    feeds = chart_feeds(spark, built[0])
+    assert set(feeds) == set(FEEDS)
+    for name, (source, feed) in FEEDS.items():
+        table = next(t for t, report in AGGREGATES.items() if report == source)
+        stored = feed.build(read_aggregate(spark, built[0], table))
+        assert row_differences(stored, feeds[name].select(*stored.columns)).count() == 0
+    bars = [r["denial_rate"] for r in feeds["denial_rate_bars"].collect()]
+    assert bars == sorted(bars) and len(bars) == 6
+
+
+def test_analytics_command_line(spark, built, tmp_path, capsys):
+    analytics_main(["--curated-base", built[0], "--out", str(tmp_path), "--last-month", "1997-12"])
+    written = sorted(p.name for p in tmp_path.iterdir())
+    assert written == sorted([*ANALYST_REPORTS, *FEEDS])
+    trend = spark.read.option("header", True).csv(str(tmp_path / "denial_trend"))
+    assert {r["service_month"] for r in trend.collect()} and all(
+        r["service_month"] <= "1997-12" for r in trend.collect())
+    analytics_main(["--curated-base", built[0]])
+    assert "avg_days_to_submit" in capsys.readouterr().out
+
+
 def test_registration_follows_a_reload(spark, claims, tmp_path):
     base, name = str(tmp_path), "claims_reload"
     for month in (1, 2):

@@ -19,8 +19,8 @@ def test_entry(spark):
 
 @pytest.mark.parametrize("name", sorted(queries()))
 def test_query_equals_sql(spark, name):
-    difference = compare(queries()[name](spark, TABLES), open_oracle(TABLES).sql(oracle_sql()[name]))
-    assert difference is None
+    expected = open_oracle(TABLES).sql(oracle_sql()[name])
+    assert compare(queries()[name](spark, TABLES), expected) is None
 
 
 def test_shared_folder_follows_the_session(spark):
