@@ -2,25 +2,21 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 _SETTING = "spark.checkpoint.dir"
+_WAREHOUSE = "spark.sql.warehouse.dir"
 
 
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh path under the shared folder that the cluster names.
 
-    Every executor must see it, so a machine-local temporary folder serves only
-    where the whole session runs in one process.
+    Every executor must see it. A session that names none uses a folder of its
+    warehouse, which executors share as well; there is no machine-local fallback.
     """
-    base = spark.conf.get(_SETTING, None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError(f"set {_SETTING} to a folder that all executors share")
-        base = tempfile.mkdtemp(prefix="payerlens-")
+    base = spark.conf.get(_SETTING, None) or f"{spark.conf.get(_WAREHOUSE).rstrip('/')}/_work"
     return f"{base.rstrip('/')}/payerlens/{purpose}-{uuid.uuid4().hex}"
 
 

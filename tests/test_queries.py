@@ -1,14 +1,16 @@
 import pytest
 from conftest import TABLES
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from payerlens.plans.oracle import oracle_queries as oracle_sql
+from payerlens.plans.queries import QUERIES
 from check_queries import compare, open_oracle
 from payerlens.plans.workspace import shared_folder
 
 
 def test_every_query_has_a_counterpart():
-    assert set(queries()) == set(oracle_sql())
-    assert len(queries()) == 23
+    assert set(QUERIES) == set(oracle_sql())
+    assert len(QUERIES) == 23
 
 
 def test_entry(spark):
@@ -17,10 +19,10 @@ def test_entry(spark):
     assert frame.count() == 414
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, name):
     expected = open_oracle(TABLES).sql(oracle_sql()[name])
-    assert compare(queries()[name](spark, TABLES), expected) is None
+    assert compare(QUERIES[name](spark, TABLES), expected) is None
 
 
 def test_shared_folder_follows_the_session(spark):
