@@ -24,9 +24,9 @@ _WIDE = "decimal(38,0)"
 def _place(doc_id: Column, code: Column, position: Column) -> Column:
     """doc_id, then text hash, then position as one number: a total order of all windows."""
     two = F.lit(2**31).cast("decimal(10,0)")
-    wide_id = F.coalesce(doc_id.cast("decimal(20,0)"), F.lit(-(2**63) - 1).cast("decimal(20,0)"))
+    wide_id = F.coalesce(doc_id.cast("decimal(20,0)"), F.lit(str(-(2**63) - 1)).cast("decimal(20,0)"))
     inner = (code.cast("decimal(10,0)") * two + position).cast("decimal(20,0)")
-    return (wide_id * F.lit(2**63).cast("decimal(19,0)") + inner).cast(_WIDE)
+    return (wide_id * F.lit(str(2**63)).cast("decimal(19,0)") + inner).cast(_WIDE)
 
 
 def _windows(docs: DataFrame) -> DataFrame:

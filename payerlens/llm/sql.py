@@ -8,13 +8,13 @@ _WORDS = r"[^\x20\x09-\x0D]+"
 
 OP2 = """
 WITH vectors AS (
-    SELECT DISTINCT vec_id, list_transform(embedding, x -> floor(256 * x::DOUBLE)) AS v
+    SELECT DISTINCT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
     FROM embeddings
     WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
-      AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ), scored AS (
     SELECT q.vec_id AS query_id, c.vec_id,
-           CAST(list_sum(list_transform(range(1, len(q.v) + 1), i -> q.v[i] * c.v[i])) AS BIGINT) AS score
+           CAST(list_sum(list_transform(range(1, len(q.v) + 1), lambda i: q.v[i] * c.v[i])) AS BIGINT) AS score
     FROM vectors q JOIN vectors c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id AND len(q.v) = len(c.v)
 ), ranked AS (
     SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank
@@ -45,7 +45,7 @@ windows AS (
 )
 SELECT doc_id,
        CASE WHEN gone IS NULL THEN text ELSE array_to_string(
-           list_filter(l, (x, i) -> NOT list_contains(gone, i - 1)), chr(10)) END AS text,
+           list_filter(l, lambda x, i: NOT list_contains(gone, i - 1)), chr(10)) END AS text,
        CAST(coalesce(len(l), 0) AS INTEGER) AS line_count,
        CAST(coalesce(len(gone), 0) AS INTEGER) AS removed_lines
 FROM lines LEFT JOIN covered USING (doc_id)
@@ -158,7 +158,7 @@ numbered AS MATERIALIZED (
 ), {"".join(best)}
 chosen AS (SELECT bounds FROM d{packing.BUCKETS} ORDER BY j DESC LIMIT 1),
 placed AS (
-    SELECT p.*, CASE WHEN length > 0 THEN len(list_filter(bounds, b -> b < length))::INTEGER END AS bucket, bounds
+    SELECT p.*, CASE WHEN length > 0 THEN len(list_filter(bounds, lambda b: b < length))::INTEGER END AS bucket, bounds
     FROM pieces p, chosen
 ), ordered AS (
     SELECT *, bounds[bucket + 1] AS padded_length,
