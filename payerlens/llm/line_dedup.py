@@ -108,8 +108,9 @@ def dedup_lines(
     )
     own = [c for c in docs.columns if c not in added]
     base = docs.select(*[F.col(f"`{c}`") for c in own])
+    # Always a merge join: texts move once at every size, whether the ranges are few or many.
     joined = base.join(
-        ranges,
+        ranges.hint("merge"),
         F.col(f"`{id_column}`").cast("long").eqNullSafe(F.col("_line_id"))
         & (code == F.col("_line_code")),
         "left",
