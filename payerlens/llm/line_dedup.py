@@ -107,12 +107,15 @@ def dedup_lines(
         F.col("ranges").alias("removed_ranges"),
     )
     own = [c for c in docs.columns if c not in added]
-    base = docs.select(*[F.col(f"`{c}`") for c in own])
+    # Numbered names, so that no input column clashes with the ranges.
+    base = docs.select(*[F.col(f"`{c}`").alias(f"in_{i}") for i, c in enumerate(own)])
+    text = F.col(f"in_{own.index(text_column)}")
+    doc_id = F.col(f"in_{own.index(id_column)}").cast("long")
+    code = F.coalesce(F.pmod(F.xxhash64(text), F.lit(2**31)), F.lit(0))
     # Always a merge join: texts move once at every size, whether the ranges are few or many.
     joined = base.join(
         ranges.hint("merge"),
-        F.col(f"`{id_column}`").cast("long").eqNullSafe(F.col("_line_id"))
-        & (code == F.col("_line_code")),
+        doc_id.eqNullSafe(F.col("_line_id")) & (code == F.col("_line_code")),
         "left",
     )
     lines = F.split(text, "\n", -1)
@@ -131,7 +134,9 @@ def dedup_lines(
     cleaned = F.when(found.isNull(), text).otherwise(F.array_join(kept, "\n"))
     gone = F.aggregate(found, F.lit(0), lambda total, r: total + r["last"] - r["first"] + 1)
     return joined.select(
-        *[cleaned.alias(c) if c == text_column else F.col(f"`{c}`") for c in own],
+        *[
+            (cleaned if c == text_column else F.col(f"in_{i}")).alias(c) for i, c in enumerate(own)
+        ],
         F.coalesce(F.size(lines), F.lit(0)).alias("line_count"),
         F.coalesce(gone, F.lit(0)).alias("removed_lines"),
         F.coalesce(found, F.array().cast("array<struct<first:int,last:int>>")).alias("removed_ranges"),

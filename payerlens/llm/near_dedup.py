@@ -220,7 +220,8 @@ def _large_bucket_links(members: DataFrame, sets: DataFrame, percent: int) -> Da
 
     ``members``: (key, id, component) of the buckets in question.
     """
-    hubs = members.groupBy("key").agg(F.min("id").alias("b"))
+    # Stored, so that a bucket of very many members is split by the skew join.
+    hubs = stored(members.groupBy("key").agg(F.min("id").alias("b")), "bucket-hubs")
     families = connected_components(
         members.join(hubs, "key").select(F.col("id").alias("a"), "b")
     )
@@ -336,9 +337,10 @@ def near_duplicates(
     tagged = members.join(labels, "id", "left").withColumn(
         "component", F.coalesce("component", "id")
     )
-    open_buckets = (
+    open_buckets = stored(
         tagged.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"))
-        .where("x != y").select("key")
+        .where("x != y").select("key"),
+        "open-buckets",
     )
     contested = stored(
         tagged.join(open_buckets, "key").where("n > 2").select("key", "n", "hub", "id", "component"),

@@ -1,0 +1,192 @@
+import hashlib
+import random
+import re
+from collections import Counter, defaultdict
+
+import pyarrow as pa
+import pytest
+from conftest import by
+from llm_fixtures import documents, edges, nothing  # noqa: F401
+
+from payerlens.llm import exact_dedup as exact
+from payerlens.llm import near_dedup as near
+from payerlens.llm import textbytes
+from payerlens.llm.components import connected_components
+from payerlens.llm.exact_dedup import chunk_ends, exact_dedup
+from payerlens.llm.line_dedup import dedup_lines
+from payerlens.llm.near_dedup import near_duplicates
+
+
+def words_of(text):
+    lowered = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+    return [w for w in re.split(r"[\x20\x09-\x0d]+", lowered) if w]
+
+
+def test_words_across_segments(monkeypatch):
+    monkeypatch.setattr(textbytes, "SEGMENT_BYTES", 40)
+    draw = random.Random(1)
+    texts = ["", None, " a  B\tc", "y" * 90 + " é", *(
+        " ".join(draw.choice(["aa", "Bb", "z" * 50, "ü"]) for _ in range(draw.randint(0, 12))) for _ in range(80)
+    )]
+    raw, offsets = textbytes.column_bytes(pa.array(texts))
+    hashes, sizes, bounds = textbytes.words(raw, offsets)
+    seen = {}
+    for i, text in enumerate(texts):
+        own = words_of(text)
+        assert sizes[bounds[i] : bounds[i + 1]].tolist() == [len(w.encode()) for w in own]
+        for word, code in zip(own, hashes[bounds[i] : bounds[i + 1]].tolist(), strict=True):
+            assert seen.setdefault(word, code) == code
+    assert len(set(seen.values())) == len(seen)
+
+
+def test_chunks_tile_and_follow_the_content():
+    draw = random.Random(2)
+    body = "".join(draw.choice("abcdefgh \n") for _ in range(60_000))
+    texts = [body, "in front " + body, ""]
+    raw, offsets = textbytes.column_bytes(pa.array(texts))
+    ends = chunk_ends(raw, offsets)
+    assert ends[2] == [] and ends[0][-1] == len(body)
+    sizes = [b - a for a, b in zip([0, *ends[0]], ends[0], strict=False)]
+    assert all(exact.LEAST <= s <= exact.MOST for s in sizes[:-1])
+    shifted = {e - offsets[1] - len("in front ") for e in ends[1]}
+    assert len(shifted & set(ends[0])) > 0.8 * len(ends[0])
+
+
+def brute_exact(rows):
+    groups = defaultdict(list)
+    for doc_id, text in rows:
+        groups[text or ""].append(doc_id)
+    out = Counter()
+    for text, ids in groups.items():
+        keep, first = max((i for i in ids if i is not None), default=None), True
+        for i in ids:
+            kept = i == keep and first
+            first = first and not kept
+            out[i, keep, len(ids), kept, hashlib.sha256(text.encode()).hexdigest()] += 1
+    return out
+
+
+@pytest.mark.parametrize("digest", [exact.chunk_digest, lambda chunk: len(chunk) % 7])
+def test_exact_dedup(spark, edges, documents, digest):
+    """With a digest that collides all the time the result stays the same."""
+    from payerlens.llm.tables import pick
+
+    extra = documents((20, "same text " * 400), (21, "same text " * 400), (22, "Same text " * 400), (23, "wxyz"))
+    docs = edges.unionByName(extra)
+    rows = [tuple(r) for r in pick(docs, doc_id="doc_id", text="text").collect()]
+    assert Counter(tuple(r) for r in exact_dedup(docs, digest=digest).collect()) == brute_exact(rows)
+
+
+def test_empty_tables(nothing):
+    assert exact_dedup(nothing).count() == 0
+    assert near_duplicates(nothing).count() == 0
+    assert dedup_lines(nothing).count() == 0
+
+
+@pytest.mark.parametrize("seed", [0, 1])
+def test_components(spark, seed):
+    draw = random.Random(seed)
+    links = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 140)]
+    links += [(draw.randrange(200, 300), draw.randrange(200, 300)) for _ in range(60)]
+    found = by(connected_components(spark.createDataFrame(links, "a bigint, b bigint")), "id")
+    parent = {}
+
+    def root(x):
+        while parent.setdefault(x, x) != x:
+            x = parent[x]
+        return x
+
+    for a, b in links:
+        x, y = sorted((root(a), root(b)))
+        parent[y] = x
+    expected = {i: root(i) for link in links for i in link}
+    assert {i: r["component"] for i, r in found.items()} == {
+        i: c for i, c in expected.items() if any(c == expected[j] for j in expected if j != i)
+    }
+
+
+def brute_near(rows, width, percent):
+    sets = []
+    for doc_id, text in rows:
+        w = words_of(text)
+        used = min(width, len(w))
+        sets.append((doc_id, {tuple(w[i : i + used]) for i in range(len(w) - used + 1)} if w else set()))
+    parent = {i: i for i, _ in sets}
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for n, (a, x) in enumerate(sets):
+        for b, y in sets[:n]:
+            if a is not None and b is not None and x and y:
+                if 100 * len(x & y) >= percent * len(x | y):
+                    one, two = sorted((root(a), root(b)))
+                    parent[two] = one
+    return Counter(
+        (i, len(s), None if i is None else root(i), i is None or root(i) == i) for i, s in sets
+    )
+
+
+def near_family(draw, first_id, copies, words=60, edits=4):
+    base = [f"w{draw.randrange(500)}" for _ in range(words)]
+    for n in range(copies):
+        own = list(base)
+        for _ in range(draw.randrange(edits)):
+            own[draw.randrange(words)] = f"e{draw.randrange(10**6)}"
+        yield (first_id + n, " ".join(own))
+
+
+@pytest.mark.parametrize("width,small,block", [(4, 32, 256), (5, 3, 8)])
+def test_near_duplicates(spark, documents, edges, monkeypatch, width, small, block):
+    """Small limits send most buckets through the block tiles."""
+    monkeypatch.setattr(near, "SMALL_BUCKET", small)
+    monkeypatch.setattr(near, "BLOCK", block)
+    draw = random.Random(width)
+    made = [r for k in range(12) for r in near_family(draw, 100 + 20 * k, draw.randint(2, 9))]
+    made += list(near_family(draw, 1000, 70, edits=9))
+    made += [(2000, made[0][1]), (2001, made[0][1].upper()), (2002, "w1 w2 w3")]
+    docs = documents(*made).unionByName(edges.where("doc_id IS NULL OR doc_id != 4"))
+    rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
+    found = near_duplicates(docs, width=width)
+    assert found.columns == ["doc_id", "n_shingles", "component_id", "kept"]
+    assert Counter(tuple(r) for r in found.collect()) == brute_near(rows, width, 80)
+
+
+def test_an_id_with_several_texts_is_one_node(documents):
+    one, two = "a b c d e f g h i j", "k l m n o p q r s t"
+    found = near_duplicates(documents((1, one), (2, one), (2, two), (3, two), (4, "z")))
+    assert {(r["doc_id"], r["component_id"]) for r in found.collect()} == {(1, 1), (2, 1), (3, 1), (4, 4)}
+
+
+def brute_lines(rows):
+    seen, out = set(), {}
+    for doc_id, text in sorted({r for r in rows if r[1] is not None}):
+        lines = text.split("\n")
+        gone = set()
+        for p in range(len(lines) - 2):
+            window = tuple(lines[p : p + 3])
+            if window in seen:
+                gone |= {p, p + 1, p + 2}
+            seen.add(window)
+        out[doc_id, text] = ("\n".join(x for p, x in enumerate(lines) if p not in gone), len(lines), len(gone))
+    return out
+
+
+def test_line_dedup(documents, edges):
+    draw = random.Random(5)
+    made = [
+        (100 + n, "\n".join(draw.choice("pqrs") for _ in range(draw.randint(0, 14)))) for n in range(60)
+    ]
+    docs = documents(*made, (500, made[0][1]), (500, made[0][1])).unionByName(edges.where("doc_id IS NOT NULL"))
+    rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
+    expected = brute_lines(rows)
+    kept = dedup_lines(docs)
+    assert set(docs.columns) <= set(kept.columns)
+    originals = kept.select("doc_id", "text", "line_count", "removed_lines", "n_chars").collect()
+    assert len(originals) == len(rows)
+    found = Counter((r["doc_id"], r["text"], r["line_count"], r["removed_lines"]) for r in originals)
+    assert found == Counter(
+        (i, None, 0, 0) if t is None else (i, *expected[i, t]) for i, t in rows
+    )
