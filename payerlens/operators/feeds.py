@@ -8,16 +8,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from payerlens.functions import millions_label, percent_label
-from payerlens.schemas import MONTH, PLAN_TYPES
+from payerlens.schemas import MONTH
 
 
 def monthly_spend_pivot(
-    spend: DataFrame, plan_types: Sequence[str] | None = tuple(PLAN_TYPES)
+    spend: DataFrame, plan_types: Sequence[str] | None = None
 ) -> DataFrame:
     """One line per plan: months down, plans across, NULL where a plan had no claim.
 
-    Naming the plans saves the job that looks for them. Pass ``None`` for a feed
-    that may hold other plans: Spark then finds the distinct values itself.
+    Every plan of the input gets a column, so the columns of a month sum up to the month.
+    Spark looks for the plans itself: pass a stored aggregate. Naming ``plan_types`` saves
+    that job where no other plan can occur.
     """
     values = None if plan_types is None else list(plan_types)
     return spend.groupBy(MONTH).pivot("plan_type", values).sum("total_paid")

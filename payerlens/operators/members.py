@@ -87,10 +87,10 @@ def with_readmission_flag(feed: DataFrame) -> DataFrame:
     go through the join; all others get False without being shuffled.
     """
     columns = [c for c in feed.columns if c != FLAG] + [FLAG]
-    joins = F.coalesce(
-        _is_inpatient() & F.col("member_id").isNotNull() & F.col("service_date").isNotNull(),
-        F.lit(False),
+    # A plain conjunction, so that each part of it is pushed to the scan that has its column.
+    stays = (
+        _is_inpatient() & F.col("member_id").isNotNull() & F.col("service_date").isNotNull()
     )
-    flagged = flag_inpatient(feed.where(joins), readmission_days(feed))
-    others = feed.where(~joins).withColumn(FLAG, F.lit(False))
+    flagged = flag_inpatient(feed.where(stays), readmission_days(feed))
+    others = feed.where(~F.coalesce(stays, F.lit(False))).withColumn(FLAG, F.lit(False))
     return flagged.select(*columns).unionByName(others.select(*columns))

@@ -26,13 +26,16 @@ def provider_outliers(profile: DataFrame, z_threshold: float = 2.0) -> DataFrame
 
     The profile is read twice, for the cohort and for the rows: pass a stored
     one where it comes from an expensive plan. Mean and sample deviation are
-    taken over the rounded averages. They reach the rows as a scalar subquery:
+    taken over the rounded averages, the mean on decimals: it does not depend on the order
+    of rows. They reach the rows as a scalar subquery:
     no driver round trip, no join. The flag compares with the unrounded
     threshold. One provider has no deviation, so its threshold is the mean.
     """
     cohort = profile.agg(
         F.struct(
-            F.coalesce(F.avg("avg_billed"), F.lit(0.0)).alias("mean"),
+            F.coalesce(
+                F.avg(F.col("avg_billed").cast("decimal(18,2)")).cast("double"), F.lit(0.0)
+            ).alias("mean"),
             F.coalesce(F.stddev_samp("avg_billed"), F.lit(0.0)).alias("deviation"),
         ).alias("cohort")
     ).scalar()

@@ -7,8 +7,8 @@ import sys
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from payerlens.operators.feeds import monthly_spend_pivot
 from payerlens.operators.providers import provider_profile, top_providers
 from payerlens.plans.reports import AGGREGATES, FEEDS, REPORTS
 from payerlens.schemas import MONTH
@@ -21,27 +21,35 @@ ANALYST_REPORTS = [
 ]
 
 
-def analyst_reports(fact: DataFrame, outliers: DataFrame) -> dict[str, DataFrame]:
-    """The seven analyst questions; flags of top providers come from the stored table."""
-    reports = {n: REPORTS[n].run(fact) for n in ANALYST_REPORTS if n != "top_providers"}
-    reports["top_providers"] = top_providers(provider_profile(fact), outliers).orderBy(
+def analyst_reports(
+    fact: DataFrame, outliers: DataFrame, first_month: str | None = None
+) -> dict[str, DataFrame]:
+    """The seven analyst questions; flags of top providers come from the stored table.
+
+    ``first_month`` limits them. The trend compares each month with the one before it, so it
+    is computed first and cut afterwards: its first month keeps its change.
+    """
+    recent = fact if first_month is None else fact.where(F.col(MONTH) >= first_month)
+    reports = {
+        n: REPORTS[n].run(recent) for n in ANALYST_REPORTS if n not in ("top_providers", "mom_trend")
+    }
+    trend = REPORTS["mom_trend"].run(fact)
+    reports["mom_trend"] = (
+        trend if first_month is None else trend.where(F.col(MONTH) >= first_month)
+    )
+    reports["top_providers"] = top_providers(provider_profile(recent), outliers).orderBy(
         *REPORTS["top_providers"].sort_columns()
     )
     return {name: reports[name] for name in ANALYST_REPORTS}
 
 
 def chart_feeds(spark: SparkSession, base: str) -> dict[str, DataFrame]:
-    """The five chart tables, from the CSV copies of the stored aggregates.
-
-    The monthly aggregate is small, so its pivot looks up the plans it holds.
-    """
+    """The five chart tables, from the CSV copies of the stored aggregates."""
     table_of = {report: table for table, report in AGGREGATES.items()}
     aggregates = {
         source: read_aggregate_csv(spark, base, table_of[source]) for source, _ in FEEDS.values()
     }
-    feeds = {name: feed.run(aggregates[source]) for name, (source, feed) in FEEDS.items()}
-    pivot = monthly_spend_pivot(aggregates["monthly_spend"], None).orderBy(MONTH)
-    return feeds | {"monthly_spend_pivot": pivot}
+    return {name: feed.run(aggregates[source]) for name, (source, feed) in FEEDS.items()}
 
 
 def main(argv: Sequence[str] | None = None) -> None:
@@ -49,20 +57,22 @@ def main(argv: Sequence[str] | None = None) -> None:
     parser.add_argument("--curated-base", required=True)
     parser.add_argument("--first-month", help="yyyy-MM; limits the analyst reports")
     parser.add_argument("--last-month", help="yyyy-MM; limits the analyst reports")
-    parser.add_argument("--out", help="write each result whole as a CSV table; else print 100 rows")
+    target = parser.add_mutually_exclusive_group(required=True)
+    target.add_argument("--out", help="write each result whole as a CSV table below this path")
+    target.add_argument("--preview", type=int, metavar="N", help="only print N rows of each result")
     args = parser.parse_args(argv)
 
     spark = build_session("payerlens-analytics")
-    fact = read_fact(spark, args.curated_base, args.first_month, args.last_month)
+    fact = read_fact(spark, args.curated_base, last_month=args.last_month)
     outliers = read_aggregate(spark, args.curated_base, "agg_provider_outliers")
-    results = analyst_reports(fact, outliers) | chart_feeds(spark, args.curated_base)
+    reports = analyst_reports(fact, outliers, args.first_month)
+    results = reports | chart_feeds(spark, args.curated_base)
     for name, result in results.items():
         if args.out:
-            target = table_path(args.out, name)
-            result.write.mode("overwrite").option("header", True).csv(target)
+            result.write.mode("overwrite").option("header", True).csv(table_path(args.out, name))
         else:
             print(name)
-            result.show(100, truncate=False)
+            result.show(args.preview, truncate=False)
 
 
 if __name__ == "__main__":

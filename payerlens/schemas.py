@@ -13,7 +13,6 @@ PROVIDER_TYPES = ["hospital", "physician_office", "pharmacy", "lab", "urgent_car
 PLAN_TYPES = ["HMO", "PPO", "EPO", "Medicare Advantage", "Medicaid MCO"]
 AGE_BANDS = ["0-17", "18-34", "35-49", "50-64", "65-79", "80+"]
 STATES = ["CA", "TX", "NY", "FL", "PA", "OH", "GA", "NC", "MI", "AZ"]
-CLAIM_TYPES = ["inpatient", "outpatient", "pharmacy", "professional", "emergency"]
 DIAGNOSIS_CATEGORIES = [
     "diabetes", "hypertension", "cardiovascular_disease", "respiratory_illness",
     "musculoskeletal", "mental_health", "oncology", "maternity", "injury_trauma",
@@ -30,44 +29,16 @@ DENIAL_REASONS = [
     "non_covered_service",
 ]
 CLAIM_STATUSES = ["paid", "partially_paid", "denied"]
-# ----------------------------------------------------------------------------
-
-DENIED = "denied"
-INPATIENT = "inpatient"
-READMISSION_WINDOW_DAYS = 30
-MONTH = "service_month"
-FLAG = "is_readmission_within_30d"
-
-TEXT_COLUMNS = [
-    "claim_id", "member_id", "provider_id", "provider_type", "plan_type",
-    "member_age_band", "member_state", "claim_type", "diagnosis_category",
-    "procedure_category",
+# The 18 columns of a claim with their types, in the order of the feed.
+CLAIM_COLUMNS = [
+    ("claim_id", "string"), ("member_id", "string"), ("provider_id", "string"),
+    ("provider_type", "string"), ("plan_type", "string"), ("member_age_band", "string"),
+    ("member_state", "string"), ("claim_type", "string"), ("diagnosis_category", "string"),
+    ("procedure_category", "string"), ("service_date", "date"), ("submission_date", "date"),
+    ("billed_amount", "money"), ("allowed_amount", "money"), ("paid_amount", "money"),
+    ("claim_status", "string"), ("denial_reason", "string"),
+    ("is_readmission_within_30d", "boolean"),
 ]
-DATE_COLUMNS = ["service_date", "submission_date"]
-MONEY_COLUMNS = ["billed_amount", "allowed_amount", "paid_amount"]
-STATUS_COLUMNS = ["claim_status", "denial_reason"]
-RAW_COLUMNS = TEXT_COLUMNS + DATE_COLUMNS + MONEY_COLUMNS + STATUS_COLUMNS + [FLAG]
-FACT_COLUMNS = RAW_COLUMNS + [MONTH]
-
-
-def _fact_type(name: str, money: T.DataType) -> T.DataType:
-    if name in DATE_COLUMNS:
-        return T.DateType()
-    if name in MONEY_COLUMNS:
-        return money
-    if name == FLAG:
-        return T.BooleanType()
-    return T.StringType()
-
-
-def _fact_schema(money: T.DataType) -> T.StructType:
-    return T.StructType([T.StructField(c, _fact_type(c, money)) for c in FACT_COLUMNS])
-
-
-# The curated fact keeps exact money; the warehouse copy has floating money.
-FACT_SCHEMA = _fact_schema(MONEY)
-WAREHOUSE_SCHEMA = _fact_schema(T.DoubleType())
-
 # The six aggregate tables, in column order.
 AGGREGATE_DDL = {
     "agg_monthly_spend":
@@ -88,7 +59,29 @@ AGGREGATE_DDL = {
         "diagnosis_category string, inpatient_claims bigint, readmissions_30d bigint, "
         "readmission_rate double",
 }
+# ----------------------------------------------------------------------------
+
+DENIED = "denied"
+INPATIENT = "inpatient"
+READMISSION_WINDOW_DAYS = 30
+MONTH = "service_month"
+FLAG = "is_readmission_within_30d"
 
+RAW_COLUMNS = [name for name, _ in CLAIM_COLUMNS]
+DATE_COLUMNS = [name for name, kind in CLAIM_COLUMNS if kind == "date"]
+MONEY_COLUMNS = [name for name, kind in CLAIM_COLUMNS if kind == "money"]
+FACT_COLUMNS = RAW_COLUMNS + [MONTH]
+_TYPES = {"string": T.StringType(), "date": T.DateType(), "boolean": T.BooleanType()}
+
+
+def _fact_schema(money: T.DataType) -> T.StructType:
+    types = [(name, money if kind == "money" else _TYPES[kind]) for name, kind in CLAIM_COLUMNS]
+    return T.StructType([T.StructField(*c) for c in [*types, (MONTH, T.StringType())]])
+
+
+# The curated fact keeps exact money; the warehouse copy has floating money.
+FACT_SCHEMA = _fact_schema(MONEY)
+WAREHOUSE_SCHEMA = _fact_schema(T.DoubleType())
 
 def columns_ddl(schema: T.StructType) -> str:
     """``name TYPE, ...`` text of a schema, for CREATE TABLE."""

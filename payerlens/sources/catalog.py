@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 
 from payerlens.schemas import AGGREGATE_DDL, FACT_SCHEMA, MONTH, columns_ddl
@@ -15,24 +17,46 @@ def _location(path: str) -> str:
     return f"LOCATION '{quoted}'"
 
 
-def register_curated(spark: SparkSession, base: str, database: str = DATABASE) -> None:
-    """External tables for the fact and the six aggregates.
+def _bare(location: str) -> str:
+    """A location without the scheme of local files and without a last slash."""
+    return re.sub("^file:/*(?=/)", "", location).rstrip("/")
+
 
-    The fact's months become visible through partition recovery; run this again
-    after the fact has been rewritten. Months that are gone are dropped as well,
-    because every pipeline run reloads the whole fact.
+def _register(spark: SparkSession, name: str, ddl: str, path: str, partitioned: str = "") -> None:
+    """An external table over ``path``. One that points elsewhere or has other columns is replaced.
+
+    Dropping an external table leaves its files. A managed table of that name is refused.
     """
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    if spark.catalog.tableExists(name):
+        described = {r[0]: r[1] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()}
+        if described.get("Type") != "EXTERNAL":
+            raise ValueError(f"{name} is a managed table; it is not replaced")
+        wanted = spark.createDataFrame([], ddl)
+        same = [(f.name, f.dataType) for f in spark.table(name).schema] == [
+            (f.name, f.dataType) for f in wanted.schema
+        ]
+        if not same or _bare(described["Location"]) != _bare(path):
+            spark.sql(f"DROP TABLE {name}")
     spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {database}.{FACT} ({columns_ddl(FACT_SCHEMA)}) "
-        f"USING PARQUET PARTITIONED BY ({MONTH}) {_location(table_path(base, FACT))}"
+        f"CREATE TABLE IF NOT EXISTS {name} ({ddl}) USING PARQUET {partitioned} {_location(path)}"
     )
-    spark.sql(f"MSCK REPAIR TABLE {database}.{FACT} SYNC PARTITIONS")
+
+
+def register_curated(spark: SparkSession, base: str, database: str = DATABASE) -> None:
+    """External tables for the fact and the six aggregates, as they are under ``base`` now.
+
+    Run it after every pipeline run: months that came or went are recovered or dropped,
+    cached file lists are refreshed, and tables registered over another base or with
+    other columns are replaced.
+    """
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    fact = f"{database}.{FACT}"
+    _register(spark, fact, columns_ddl(FACT_SCHEMA), table_path(base, FACT), f"PARTITIONED BY ({MONTH})")
+    spark.sql(f"MSCK REPAIR TABLE {fact} SYNC PARTITIONS")
     for name, ddl in AGGREGATE_DDL.items():
-        spark.sql(
-            f"CREATE TABLE IF NOT EXISTS {database}.{name} ({ddl}) "
-            f"USING PARQUET {_location(table_path(base, name))}"
-        )
+        _register(spark, f"{database}.{name}", ddl, table_path(base, name))
+    for name in (FACT, *AGGREGATE_DDL):
+        spark.sql(f"REFRESH TABLE {database}.{name}")
 
 
 def list_tables(spark: SparkSession, database: str = DATABASE) -> list[str]:

@@ -46,12 +46,9 @@ def claims_feed(spark: SparkSession, tables: str, with_flag: bool = False) -> Da
     def table(name: str, *columns: str) -> DataFrame:
         return spark.read.parquet(f"{tables}/{name}.parquet").select(*columns)
 
-    lines = _spread(
-        table(
-            "lineitem", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
-            "l_extendedprice", "l_discount", "l_tax", "l_shipdate",
-        ),
-        "l_orderkey", "l_linenumber",
+    lines = table(
+        "lineitem", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
+        "l_extendedprice", "l_discount", "l_tax", "l_shipdate",
     )
     # The two narrow tables meet first, so the wide lines are shuffled once for
     # both. No side is forced to be broadcast: Spark does so where the estimated
@@ -72,19 +69,6 @@ def claims_feed(spark: SparkSession, tables: str, with_flag: bool = False) -> Da
     return claims.select(*RAW_COLUMNS, F.explode("copies")).drop("col")
 
 
-def _spread(scan: DataFrame, *keys: str) -> DataFrame:
-    """Shuffles a scan that has fewer splits than the session has cores.
-
-    A small file of one row group is read by one task, which would then do all
-    the work above it alone. Large inputs have more splits than cores and are
-    left as they are.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    if scan.rdd.getNumPartitions() >= cores:
-        return scan
-    return scan.repartition(cores, *keys)
-
-
 def _pick(index: str, values: Sequence[str]) -> str:
     names = ", ".join(f"'{v}'" for v in values)
     return f"get(array({names}), CAST({index} % {len(values)} AS INT))"

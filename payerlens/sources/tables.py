@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections import defaultdict
+from functools import reduce
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -85,31 +89,57 @@ def read_aggregate_csv(spark: SparkSession, base: str, name: str) -> DataFrame:
     """All parts of an aggregate's CSV copy; an error if there is none."""
     path = csv_path(base, name)
     # The schema is given: inference would turn the month into a timestamp.
-    copy = spark.read.schema(AGGREGATE_DDL[name]).option("header", True).csv(path)
+    try:
+        copy = spark.read.schema(AGGREGATE_DDL[name]).option("header", True).csv(path)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        raise FileNotFoundError(f"no CSV copy of {name} under {path}") from missing
     if not copy.inputFiles():
         raise FileNotFoundError(f"no CSV copy of {name} under {path}")
     return copy
 
 
 def read_fact_by_path(spark: SparkSession, path: str) -> DataFrame:
-    """Reads the fact's files without partition discovery, month taken from the path.
+    """Reads staged claim files, month taken from the path, fields cast to the warehouse types.
+
+    The month is the directory of a file, ``service_month=2026-01`` or ``2026-01``; a file
+    outside such a directory gets NULL. Files of equal name in different months cannot
+    collide because the full path identifies them. Each directory is read with its own
+    types, so months that hold money as double, text or decimal load together; fields are
+    cast by name, a value that cannot be cast and a column that is absent give NULL, and
+    other columns are ignored. Files of one directory must agree in their types.
 
-    This is the bulk-load view of the table: the month is not in the files, only
-    in their directory. Every directory is found, and files of equal name in
-    different months cannot collide because the full path identifies them. A
-    file outside a month directory gets NULL. Fields are cast to the warehouse
-    types.
+    Directories of equal schema are one scan. Only directory names and one footer for each
+    reach the driver.
     """
-    month = F.regexp_extract(
-        F.col("_metadata.file_path"), r"/service_month=([0-9]{4}-[0-9]{2})/[^/]*$", 1
-    )
-    staged = (
-        spark.read.schema(FACT_SCHEMA[:len(RAW_COLUMNS)])
-        .option("recursiveFileLookup", True)
-        .parquet(path)
+    by_schema = defaultdict(list)
+    for folder in _folders(spark, path):
+        schema = spark.read.parquet(folder).schema
+        by_schema[schema.json()].append(folder)
+    parts = [_staged(spark, folders) for folders in by_schema.values()]
+    if not parts:
+        return spark.createDataFrame([], WAREHOUSE_SCHEMA)
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _folders(spark: SparkSession, path: str) -> list[str]:
+    """Directories below ``path`` that hold Parquet files; contents are not read."""
+    files = (
+        spark.read.format("binaryFile").option("recursiveFileLookup", True)
+        .option("pathGlobFilter", "*.parquet").load(path)
     )
-    return staged.select(
-        *[F.col(f.name).try_cast(f.dataType).alias(f.name)
-          for f in WAREHOUSE_SCHEMA[:len(RAW_COLUMNS)]],
-        F.nullif(month, F.lit("")).alias(MONTH),
+    folder = F.regexp_extract("path", "^(.*)/[^/]*$", 1)
+    return sorted(r[0] for r in files.select(folder.alias("folder")).distinct().collect())
+
+
+def _staged(spark: SparkSession, folders: list[str]) -> DataFrame:
+    month = F.regexp_extract(
+        F.col("_metadata.file_path"), rf"/(?:{MONTH}=)?([0-9]{{4}}-[0-9]{{2}})/[^/]*$", 1
     )
+    staged = spark.read.option("recursiveFileLookup", True).parquet(*folders)
+    fields = [
+        (F.col(f.name).try_cast(f.dataType) if f.name in staged.columns else F.lit(None).cast(f.dataType)).alias(f.name)
+        for f in WAREHOUSE_SCHEMA[: len(RAW_COLUMNS)]
+    ]
+    return staged.select(*fields, F.nullif(month, F.lit("")).alias(MONTH))

@@ -136,8 +136,65 @@ def test_analytics_command_line(spark, built, tmp_path, capsys):
     trend = spark.read.option("header", True).csv(str(tmp_path / "denial_trend"))
     assert {r["service_month"] for r in trend.collect()} and all(
         r["service_month"] <= "1997-12" for r in trend.collect())
-    analytics_main(["--curated-base", built[0]])
+    analytics_main(["--curated-base", built[0], "--preview", "3"])
     assert "avg_days_to_submit" in capsys.readouterr().out
+    with pytest.raises(SystemExit):
+        analytics_main(["--curated-base", built[0]])
+    pmpm = spark.read.option("header", True).csv(str(tmp_path / "pmpm"))
+    assert pmpm.count() > 100
+
+
+def test_first_month_keeps_its_change(spark, built):
+    fact = read_fact(spark, built[0])
+    outliers = read_aggregate(spark, built[0], "agg_provider_outliers")
+    whole = analyst_reports(fact, outliers)["mom_trend"].collect()
+    tail = analyst_reports(fact, outliers, "1997-01")["mom_trend"].collect()
+    assert tail == [r for r in whole if r["service_month"] >= "1997-01"]
+    assert tail[0]["mom_change"] is not None
+
+
+def test_all_tables_follow_reloads_and_bases(spark, tmp_path):
+    """Register, reload, register, read in one session; then another base, then new columns."""
+    name, bases = "claims_moves", [str(tmp_path / "a"), str(tmp_path / "b")]
+    for base, rows_ in ((bases[0], 3), (bases[0], 5), (bases[1], 7)):
+        claims_table = read_fact(spark, _built(spark, base, rows_))
+        register_curated(spark, base, name)
+        assert spark.table(f"{name}.claims").count() == claims_table.count() == rows_
+        for table in AGGREGATES:
+            stored = read_aggregate(spark, base, table)
+            assert row_differences(spark.table(f"{name}.{table}"), stored).count() == 0
+    spark.sql(f"DROP TABLE {name}.agg_readmissions")
+    spark.sql(f"CREATE TABLE {name}.agg_readmissions (x int) USING PARQUET LOCATION '{tmp_path}/c'")
+    register_curated(spark, bases[1], name)
+    assert "readmission_rate" in spark.table(f"{name}.agg_readmissions").columns
+    spark.sql(f"DROP TABLE {name}.agg_readmissions")
+    spark.sql(f"CREATE TABLE {name}.agg_readmissions (x int) USING PARQUET")
+    with pytest.raises(ValueError):
+        register_curated(spark, bases[1], name)
+
+
+def _built(spark, base, n):
+    from conftest import RAW_DEFAULT
+
+    raw = spark.createDataFrame(
+        [tuple((RAW_DEFAULT | {"claim_id": f"c{i}"}).values()) for i in range(n)],
+        ", ".join(f"{c} string" for c in RAW_DEFAULT),
+    )
+    raw.write.mode("overwrite").option("header", True).csv(f"{base}_raw")
+    run_pipeline(spark, f"{base}_raw", base, fact_csv=False)
+    return base
+
+
+def test_commands(spark, built, tmp_path, capsys):
+    from payerlens.plans.commands import analyst_sql, warehouse
+
+    warehouse(["--staged", table_path(built[0], "claims"), "--table", "wh_cli.claims"])
+    assert "wh_cli.claims: 5727 rows" in capsys.readouterr().out
+    register_curated(spark, built[0], "claims_sql_cli")
+    analyst_sql(["--database", "claims_sql_cli", "--out", str(tmp_path)])
+    assert sorted(p.name for p in tmp_path.iterdir()) == sorted(ANALYST_SQL)
+    written = spark.read.option("header", True).csv(str(tmp_path / "pmpm"))
+    assert written.count() == REPORTS["pmpm"].run(read_fact(spark, built[0])).count()
 
 
 def test_registration_follows_a_reload(spark, claims, tmp_path):

@@ -5,16 +5,16 @@ import re
 import pytest
 from conftest import TABLES, plan_of
 
-from __spark_entry__ import queries
 from payerlens.operators.cleaning import clean
 from payerlens.operators.feeds import monthly_spend_pivot
 from payerlens.operators.spend import monthly_spend
+from payerlens.plans.queries import QUERIES
 from payerlens.sources.order_feed import claims_feed
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_cross_join_python_or_global_window(spark, name):
-    plan = plan_of(queries()[name](spark, TABLES))
+    plan = plan_of(QUERIES[name](spark, TABLES))
     for operator in ("Cartesian", "NestedLoop", "EvalPython", "InPandas", "InArrow",
                      "CollectLimit"):
         assert operator not in plan
@@ -36,5 +36,16 @@ def test_flag_is_not_computed_where_it_is_not_read(spark):
     assert "Window [lag" in plan_of(queries()["readmissions"](spark, TABLES))
 
 
+def test_readmission_filter_reaches_the_lines(spark):
+    """The claim type is tested where lines are scanned, not after the order join."""
+    from payerlens.sources.order_feed import claims_feed
+
+    plan = plan_of(claims_feed(spark, TABLES, with_flag=True))
+    joins = [line for line in plan.splitlines() if "Join" in line]
+    filters = [line for line in plan.splitlines() if "Filter" in line and "l_linenumber" in line]
+    assert any("= inpatient" in line and "o_custkey" not in line for line in filters)
+    assert not any("l_linenumber" in line and "NOT" not in line for line in joins)
+
+
 def test_pivot_drops_the_distinct_count(claims):
     assert "distinct" not in plan_of(monthly_spend_pivot(monthly_spend(claims({}))))

@@ -74,13 +74,17 @@ def test_pivot_has_null_for_an_absent_plan(claims):
     spend = monthly_spend(claims({"service_date": JAN}, {"service_date": FEB, "plan_type": "PPO"}))
     got = by(monthly_spend_pivot(spend), "service_month")
     assert got["2026-01"]["HMO"] == 80.0 and got["2026-01"]["PPO"] is None
-    assert set(got["2026-01"]) == {
-        "service_month", "HMO", "PPO", "EPO", "Medicare Advantage", "Medicaid MCO"}
+    assert set(got["2026-01"]) == {"service_month", "HMO", "PPO"}
+    named = monthly_spend_pivot(spend, ["EPO", "HMO", "PPO"])
+    assert named.columns == ["service_month", "EPO", "HMO", "PPO"]
 
 
 def test_pivot_can_discover_plans(claims):
     spend = monthly_spend(claims({}, {"plan_type": "Indemnity"}))
-    assert monthly_spend_pivot(spend, None).columns == ["service_month", "HMO", "Indemnity"]
+    pivot = monthly_spend_pivot(spend)
+    assert pivot.columns == ["service_month", "HMO", "Indemnity"]
+    ((total,),), (row,) = spend.groupBy().sum("total_paid").collect(), pivot.collect()
+    assert sum(row[1:]) == total
 
 
 def test_millions_label(claims):

@@ -113,8 +113,32 @@ def test_aggregate_and_csv_copy_agree(spark, fact, base):
     assert len(list(Path(csv_path(base, name)).glob("*.csv"))) == 1
 
 
+@pytest.mark.parametrize("layout", ["service_month=", ""])
+def test_bulk_load_of_foreign_files(spark, fact, tmp_path, layout):
+    """Months with money as decimal, double and text, a text date, absent and extra columns."""
+    for month, money in (("2026-01", "decimal(10,2)"), ("2026-02", "double"), ("2026-03", "string")):
+        part = fact.where(fact[MONTH] == month).drop(MONTH)
+        for column in ("billed_amount", "allowed_amount", "paid_amount"):
+            part = part.withColumn(column, part[column].cast(money))
+        if month == "2026-02":
+            part = part.withColumn("service_date", part["service_date"].cast("string"))
+            part = part.drop("denial_reason").withColumn("extra", part["claim_id"])
+        part.write.parquet(str(tmp_path / f"{layout}{month}"))
+    loaded = read_fact_by_path(spark, str(tmp_path))
+    assert loaded.columns == FACT_COLUMNS
+    assert row_differences(doubles(fact), loaded).count() == 0
+
+
+def test_bulk_load_gives_null_for_what_cannot_be_cast(spark, fact, tmp_path):
+    fact.selectExpr("claim_id", "'abc' AS paid_amount").limit(1).write.parquet(str(tmp_path / "2026-01"))
+    (loaded,) = rows(read_fact_by_path(spark, str(tmp_path)))
+    assert loaded["paid_amount"] is None and loaded[MONTH] == "2026-01"
+
+
 def test_missing_csv_copy_is_an_error(spark, base):
     name = "agg_readmissions"
+    with pytest.raises(FileNotFoundError):
+        read_aggregate_csv(spark, base, name)
     Path(csv_path(base, name)).mkdir(parents=True)
     with pytest.raises(FileNotFoundError):
         read_aggregate_csv(spark, base, name)
