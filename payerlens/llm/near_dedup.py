@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from payerlens.llm.components import connected_components
 from payerlens.llm.tables import pick, stored
-from payerlens.llm.textbytes import column_bytes, mix64, words
+from payerlens.llm.textbytes import column_bytes, mix64, small_batches, words
 
 BANDS, ROWS = 24, 4
 SMALL_BUCKET = 32
@@ -119,7 +119,7 @@ def band_keys(signatures: np.ndarray) -> np.ndarray:
 
 def _signature_rows(width: int) -> Callable:
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small_batches(batches):
             sets, names = shingle_sets(batch.column("text"), width)
             full = [i for i, s in enumerate(sets) if len(s)]
             keys = [np.zeros(0, np.uint64)] * len(sets)
@@ -142,7 +142,7 @@ def _signature_rows(width: int) -> Callable:
 
 def _set_rows(width: int) -> Callable:
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small_batches(batches):
             sets, _ = shingle_sets(batch.column("text"), width)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), _lists(sets)], ["id", "shingles"])
 

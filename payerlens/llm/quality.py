@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from payerlens.llm.samples import bounded_sample, ngram_buckets, rows_in_blocks
 from payerlens.llm.tables import pick
-from payerlens.llm.textbytes import SEGMENT_BYTES, class_counts, column_bytes, row_sums, words
+from payerlens.llm.textbytes import SEGMENT_BYTES, class_counts, column_bytes, row_sums, small_batches, words
 
 BUCKETS = 1 << 16
 SAMPLE_ROWS = 3000
@@ -206,14 +206,14 @@ def train_scorer(column: pa.Array, targets: np.ndarray, epochs: int = 15, seed:
 
 
 def _pattern_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in small_batches(batches):
         code, n = np.unique(vote_patterns(text_statistics(batch.column("text"))), return_counts=True)
         yield pa.RecordBatch.from_arrays([pa.array(code), pa.array(n)], ["pattern", "n"])
 
 
 def _score_rows(scorer: Scorer, posteriors: dict[int, float], threshold: float) -> Callable:
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small_batches(batches):
             text = batch.column("text")
             statistics = text_statistics(text)
             score = scorer.score(text, statistics)

@@ -61,6 +61,19 @@ def column_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[first[0] : first[-1]], first - first[0]
 
 
+def small_batches(batches, column: str = "text", most_bytes: int = 4 << 20):
+    """The same rows in batches of about ``most_bytes`` of text; a longer text is alone."""
+    for batch in batches:
+        at = column_bytes(batch.column(column))[1]
+        row, n = 0, batch.num_rows
+        if not n:
+            yield batch
+        while row < n:
+            end = max(row + 1, int(np.searchsorted(at, at[row] + most_bytes, "right")) - 1)
+            yield batch.slice(row, end - row)
+            row = end
+
+
 def _segments(raw: np.ndarray, offsets: np.ndarray):
     """Ranges that cover ``raw`` and end at white space or between rows."""
     start, n = 0, len(raw)
