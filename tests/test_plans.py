@@ -33,7 +33,7 @@ def test_unused_columns_leave_before_the_shuffle(spark):
 
 def test_flag_is_not_computed_where_it_is_not_read(spark):
     assert "Window [lag" not in plan_of(QUERIES["pmpm"](spark, TABLES))
-    assert "Window [lag" in plan_of(queries()["readmissions"](spark, TABLES))
+    assert "Window [lag" in plan_of(QUERIES["readmissions"](spark, TABLES))
 
 
 def test_readmission_filter_reaches_the_lines(spark):
