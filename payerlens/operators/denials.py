@@ -2,42 +2,42 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
-
-from payerlens.functions import dollars, exact_ratio
-from payerlens.schemas import DENIED, MONTH
+from collections.abc import Callable
 
+from pyspark.sql import DataFrame
 
-def _is_denied() -> Column:
-    return F.col("claim_status") == DENIED
+from payerlens.functions import dollars, exact_ratio
+from payerlens.operators.summary import Totals, is_denied, of_claims
+from payerlens.schemas import MONTH
 
 
-def _denial_rate(claims: DataFrame, key: str) -> DataFrame:
-    total, denied = F.count("*"), F.count_if(_is_denied())
+def _denial_rate(claims: DataFrame, key: str, totals: Totals) -> DataFrame:
     return claims.groupBy(key).agg(
-        total.alias("total_claims"),
-        denied.alias("denied_claims"),
-        exact_ratio(denied, total, 4).alias("denial_rate"),
+        totals.claims.alias("total_claims"),
+        totals.denied.alias("denied_claims"),
+        exact_ratio(totals.denied, totals.claims, 4).alias("denial_rate"),
     )
 
 
-def denial_by_provider_type(claims: DataFrame) -> DataFrame:
+def denial_by_provider_type(
+    claims: DataFrame, totals: Callable[[], Totals] = of_claims
+) -> DataFrame:
     """One conditional aggregation; a type without denials shows 0 and 0.0."""
-    return _denial_rate(claims, "provider_type")
+    return _denial_rate(claims, "provider_type", totals())
 
 
 def denial_trend(claims: DataFrame) -> DataFrame:
-    return _denial_rate(claims, MONTH)
+    return _denial_rate(claims, MONTH, of_claims())
 
 
-def denial_by_reason(claims: DataFrame) -> DataFrame:
+def denial_by_reason(claims: DataFrame, totals: Callable[[], Totals] = of_claims) -> DataFrame:
     """Denied claims only; a missing reason is a group of its own."""
+    group = totals()
     return (
-        claims.where(_is_denied())
+        claims.where(is_denied())
         .groupBy("denial_reason")
         .agg(
-            F.count("*").alias("denied_claims"),
-            dollars(F.sum("billed_amount")).alias("billed_amount_denied"),
+            group.claims.alias("denied_claims"),
+            dollars(group.billed).alias("billed_amount_denied"),
         )
     )

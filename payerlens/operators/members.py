@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from payerlens.functions import dollars, exact_ratio
+from payerlens.operators.summary import Totals, of_claims
 from payerlens.schemas import FLAG, INPATIENT, READMISSION_WINDOW_DAYS
 
 _STAY = ["member_id", "service_date"]
@@ -30,16 +33,16 @@ def high_utilizers(claims: DataFrame, min_claims: int = 3, n: int = 25) -> DataF
     )
 
 
-def readmissions(claims: DataFrame) -> DataFrame:
+def readmissions(claims: DataFrame, totals: Callable[[], Totals] = of_claims) -> DataFrame:
     """Readmission rate by diagnosis; the denominator is inpatient claims only."""
-    stays, flagged = F.count("*"), F.sum(F.col(FLAG).cast("int"))
+    stays = totals()
     return (
         claims.where(_is_inpatient())
         .groupBy("diagnosis_category")
         .agg(
-            stays.alias("inpatient_claims"),
-            flagged.alias("readmissions_30d"),
-            exact_ratio(flagged, stays, 4).alias("readmission_rate"),
+            stays.claims.alias("inpatient_claims"),
+            stays.readmitted.alias("readmissions_30d"),
+            exact_ratio(stays.readmitted, stays.claims, 4).alias("readmission_rate"),
         )
     )
 

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from payerlens.functions import dollars, exact_ratio
+from payerlens.operators.summary import Totals, of_claims
 from payerlens.schemas import MONTH
 
 
@@ -18,12 +21,12 @@ def monthly_spend(claims: DataFrame) -> DataFrame:
     )
 
 
-def diagnosis_cost(claims: DataFrame) -> DataFrame:
-    paid = F.sum("paid_amount")
+def diagnosis_cost(claims: DataFrame, totals: Callable[[], Totals] = of_claims) -> DataFrame:
+    group = totals()
     return claims.groupBy("diagnosis_category").agg(
-        dollars(paid).alias("total_paid"),
-        exact_ratio(paid, F.count("paid_amount"), 2).alias("avg_paid_per_claim"),
-        F.count("*").alias("claim_count"),
+        dollars(group.paid).alias("total_paid"),
+        exact_ratio(group.paid, group.paid_claims, 2).alias("avg_paid_per_claim"),
+        group.claims.alias("claim_count"),
     )
 
 

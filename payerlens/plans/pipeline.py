@@ -5,13 +5,16 @@ from __future__ import annotations
 import argparse
 import sys
 from collections.abc import Sequence
+from datetime import UTC, datetime
 from typing import NamedTuple
+from uuid import uuid4
 
 from pyspark.sql import SparkSession
 
 from payerlens.operators.cleaning import clean
 from payerlens.operators.providers import provider_outliers, provider_profile
-from payerlens.plans.reports import AGGREGATES, REPORTS
+from payerlens.operators.summary import claim_summary
+from payerlens.plans.reports import AGGREGATES, FROM_SUMMARY, REPORTS
 from payerlens.plans.workspace import store
 from payerlens.session import build_session
 from payerlens.sources.catalog import DATABASE, list_tables, register_curated
@@ -39,9 +42,10 @@ def run_pipeline(
 ) -> Audit:
     """Cleans once and writes the fact; everything else reads the written fact.
 
-    The fact is therefore parsed and de-duplicated a single time, every
-    aggregate scans only its own columns, and all outputs agree. A lost executor
-    costs the current job's tasks, not the work already written.
+    The fact is therefore parsed and de-duplicated a single time, and all outputs agree.
+    It is scanned for its CSV copy, the provider profile, the monthly spend and a summary
+    from which the other four aggregates follow, each time with the columns in question.
+    A lost executor costs the current job's tasks, not the work already written.
     """
     raw = load_raw(spark, input_path)
     write_fact(clean(raw), output_base)
@@ -49,9 +53,12 @@ def run_pipeline(
     if fact_csv:
         write_fact_csv(spark, output_base)
     profile = store(provider_profile(fact), table_path(output_base, "_work/provider_profile"))
+    summary = store(claim_summary(fact), table_path(output_base, "_work/claim_summary"))
     for table, report in AGGREGATES.items():
         if report == "provider_outliers":
             aggregate = provider_outliers(profile, z_threshold)
+        elif report in FROM_SUMMARY:
+            aggregate = FROM_SUMMARY[report](summary)
         else:
             aggregate = REPORTS[report].build(fact)
         write_aggregate(aggregate, output_base, table)
@@ -60,22 +67,52 @@ def run_pipeline(
     return Audit(raw.count(), fact.count())
 
 
+def publish(
+    spark: SparkSession,
+    input_path: str,
+    output_base: str,
+    database: str = DATABASE,
+    z_threshold: float = 2.0,
+    fact_csv: bool = True,
+) -> tuple[str, Audit]:
+    """Runs into a new folder below ``output_base`` and registers it when all tables are complete.
+
+    A run that fails leaves the catalog as it was, over the tables of the run before;
+    those stay on storage until somebody deletes them. Returns the folder and the audit.
+    """
+    run_base = table_path(output_base, f"run-{datetime.now(UTC):%Y%m%dT%H%M%S}-{uuid4().hex[:8]}")
+    audit = run_pipeline(spark, input_path, run_base, z_threshold, fact_csv)
+    register_curated(spark, run_base, database)
+    return run_base, audit
+
+
 def main(argv: Sequence[str] | None = None) -> None:
     parser = argparse.ArgumentParser(description="Build the curated claims tables.")
     parser.add_argument("--input", required=True, help="raw claims CSV, file or directory")
     parser.add_argument("--output-base", required=True, help="directory of the curated tables")
     parser.add_argument("--z-threshold", type=float, default=2.0)
     parser.add_argument("--no-fact-csv", action="store_true", help="skip the fact's CSV copy")
-    parser.add_argument("--register", action="store_true", help="register catalog tables")
+    target = parser.add_mutually_exclusive_group()
+    target.add_argument("--register", action="store_true", help="register catalog tables")
+    target.add_argument(
+        "--publish", action="store_true",
+        help="write a new run folder below the output base and register it when it is complete",
+    )
     parser.add_argument("--database", default=DATABASE)
     args = parser.parse_args(argv)
 
     spark = build_session("payerlens-pipeline")
-    audit = run_pipeline(
-        spark, args.input, args.output_base, args.z_threshold, not args.no_fact_csv
-    )
+    fact_csv = not args.no_fact_csv
+    if args.publish:
+        base, audit = publish(
+            spark, args.input, args.output_base, args.database, args.z_threshold, fact_csv
+        )
+        print(f"Run folder: {base}")
+    else:
+        audit = run_pipeline(spark, args.input, args.output_base, args.z_threshold, fact_csv)
     if args.register:
         register_curated(spark, args.output_base, args.database)
+    if args.register or args.publish:
         print("Tables: " + ", ".join(list_tables(spark, args.database)))
     print(f"Raw rows: {audit.raw_rows}, clean rows: {audit.clean_rows}")
 

@@ -7,12 +7,14 @@ that no reader may rely on. Sorting belongs to presentation, here.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from payerlens.operators import denials, feeds, members, providers, spend
+from payerlens.operators.summary import of_summary
 from payerlens.schemas import MONTH
 
 
@@ -78,6 +80,14 @@ AGGREGATES = {
     "agg_readmissions": "readmissions",
 }
 
+# Reports that a stored summary of the claims answers as well as the claims do.
+FROM_SUMMARY = {
+    "diagnosis_cost": partial(spend.diagnosis_cost, totals=of_summary),
+    "denial_by_provider_type": partial(denials.denial_by_provider_type, totals=of_summary),
+    "denial_by_reason": partial(denials.denial_by_reason, totals=of_summary),
+    "readmissions": partial(members.readmissions, totals=of_summary),
+}
+
 # Chart feed -> (aggregate report it reads, how it is derived and sorted).
 FEEDS: dict[str, tuple[str, Report]] = {
     "monthly_spend_pivot": ("monthly_spend", Report(feeds.monthly_spend_pivot, (MONTH,))),

@@ -7,11 +7,13 @@ from pyspark.sql import functions as F
 from payerlens.operators.cleaning import clean
 from payerlens.operators.providers import provider_outliers, provider_profile
 from payerlens.operators.reconcile import reconcile, row_differences
+from payerlens.operators.summary import claim_summary
 from payerlens.plans.analyst_sql import ANALYST_SQL, run_sql
 from payerlens.plans.analytics import ANALYST_REPORTS, analyst_reports, chart_feeds
 from payerlens.plans.analytics import main as analytics_main
-from payerlens.plans.pipeline import main, run_pipeline
-from payerlens.plans.reports import AGGREGATES, FEEDS, REPORTS
+from payerlens.plans import pipeline
+from payerlens.plans.pipeline import main, publish, run_pipeline
+from payerlens.plans.reports import AGGREGATES, FEEDS, FROM_SUMMARY, REPORTS
 from payerlens.sources.catalog import list_tables, load_warehouse, register_curated
 from payerlens.sources.order_feed import claims_feed
 from payerlens.sources.tables import (
@@ -19,6 +21,7 @@ from payerlens.sources.tables import (
     read_aggregate_csv,
     read_fact,
     table_path,
+    write_aggregate,
     write_fact,
 )
 
@@ -76,6 +79,49 @@ def test_invariants(spark, built):
     assert tables["agg_provider_outliers"].count() == 10
 
 
+def test_summary_gives_what_the_fact_gives(spark, built, claims):
+    odd = claims(
+        {"diagnosis_category": None, "provider_type": None, "paid_amount": None},
+        {"claim_type": "inpatient", "is_readmission_within_30d": None},
+        {"claim_type": "inpatient", "is_readmission_within_30d": True, "claim_status": "denied"},
+        {"claim_status": "denied", "denial_reason": "out_of_network", "billed_amount": None},
+    )
+    for fact in (read_fact(spark, built[0]), odd, claims({}).limit(0)):
+        summary = claim_summary(fact)
+        for name, build in FROM_SUMMARY.items():
+            direct = REPORTS[name].build(fact)
+            assert build(summary).dtypes == direct.dtypes
+            assert row_differences(build(summary), direct).count() == 0
+
+
+def test_failed_run_leaves_the_published_tables(spark, raw, tmp_path, monkeypatch):
+    base, name = str(tmp_path / "runs"), "claims_published"
+    first, audit = publish(spark, raw, base, name, fact_csv=False)
+    assert tuple(audit) == (6087, 5727)
+    small = spark.read.option("header", True).csv(raw).limit(50)
+    small.write.option("header", True).csv(str(tmp_path / "small"))
+    wrote = []
+
+    def failing(aggregate, base, table):
+        wrote.append(table)
+        if len(wrote) == 3:
+            raise RuntimeError("third aggregate")
+        write_aggregate(aggregate, base, table)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(pipeline, "write_aggregate", failing)
+        with pytest.raises(RuntimeError):
+            publish(spark, str(tmp_path / "small"), base, name, fact_csv=False)
+    assert spark.table(f"{name}.claims").count() == 5727
+    for table in AGGREGATES:
+        stored = read_aggregate(spark, first, table)
+        assert row_differences(spark.table(f"{name}.{table}"), stored).count() == 0
+    second, audit = publish(spark, str(tmp_path / "small"), base, name, fact_csv=False)
+    assert second != first
+    assert spark.table(f"{name}.claims").count() == audit.clean_rows < 51
+    assert read_fact(spark, first).count() == 5727
+
+
 def test_second_run_gives_identical_tables(spark, raw, built, tmp_path):
     other = str(tmp_path / "again")
     run_pipeline(spark, raw, other, fact_csv=False)
