@@ -55,7 +55,7 @@ STAGES = [
     ("packing", packing),
 ]
 
-# The first stage fits a model, which SQL can't express; see tests/llm/test_pipeline.py.
+# The first stage fits a model, which SQL can't express; see tests/llm/test_corpus_pipeline.py.
 ORACLE_SQL = None
 
 
