@@ -130,7 +130,9 @@ def mix_documents(
     named in ``keep`` instead. The budget is ``budget_percent`` of all tokens. A missing
     language or source counts as the empty name; documents without tokens are selected
     with every epoch in whose prefix they lie and cost nothing. Leaves without tokens
-    select nothing. Rows that repeat a doc_id are taken one by one, smaller texts first.
+    select nothing. Rows that repeat a doc_id are taken one by one, smaller texts first, then
+    by a hash of the text. Rows without doc_id are ordered by that hash, so they spread over
+    all slices, and a task that runs again takes the same rows.
     """
     weights = {"language": LANGUAGE_WEIGHTS} if weights is None else weights
     own = {name: F.col(f"`{name}`").alias(f"in_{i}") for i, name in enumerate(keep or [])}
@@ -139,6 +141,7 @@ def mix_documents(
         F.coalesce(F.col(f"`{language_column}`"), F.lit("")).alias("language"),
         F.coalesce(F.col(f"`{source_column}`"), F.lit("")).alias("source_name"),
         word_count(F.col(f"`{text_column}`")).alias("tokens"),
+        F.xxhash64(F.col(f"`{text_column}`")).alias("text_code"),
         *own.values(),
     ).withColumn("domain", domain_of(F.col("source_name")))
     base = stored(base, "mixing-input")  # texts are counted once
@@ -157,7 +160,10 @@ def mix_documents(
     )
     key = F.md5(
         F.concat_ws(
-            "|", F.lit(str(seed)), F.col("full_epochs").cast("string"), F.col("doc_id").cast("string")
+            "|",
+            F.lit(str(seed)),
+            F.col("full_epochs").cast("string"),
+            F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("#"), F.col("text_code"))),
         )
     )
     keyed = base.join(quotas, list(_LEVELS)).withColumn("order_key", key).withColumn(
@@ -178,7 +184,7 @@ def mix_documents(
     whole = cut.where("slice < last_slice").withColumn("epoch", F.col("full_epochs"))
     so_far = (
         Window.partitionBy(*_LEVELS)
-        .orderBy("order_key", "doc_id", "tokens")
+        .orderBy("order_key", "doc_id", "tokens", "text_code")
         .rowsBetween(Window.unboundedPreceding, 0)
     )
     partly = (

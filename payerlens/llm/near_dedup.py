@@ -149,10 +149,21 @@ def _set_rows(width: int) -> Callable:
     return rows
 
 
-def _semi(texts: DataFrame, ids: DataFrame) -> DataFrame:
-    """Rows of ``texts`` whose doc_id is in the stored table ``ids``."""
+def _semi(texts: DataFrame, ids: DataFrame, kind: str = "left_semi") -> DataFrame:
+    """Rows of ``texts`` whose doc_id is in the stored table ``ids``; or is not (left_anti)."""
     side = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
-    return texts.join(side, texts["doc_id"] == side["id"], "left_semi")
+    return texts.join(side, texts["doc_id"] == side["id"], kind)
+
+
+def distinct_texts(texts: DataFrame, repeated: DataFrame) -> DataFrame:
+    """``texts`` without repeated rows; ``repeated`` are the ids that have several rows.
+
+    Rows that repeat id and text have one set: n sets of one id and m of another would make
+    n x m rows of each pair. Only rows of such ids are shuffled for it.
+    """
+    if repeated.isEmpty():
+        return texts
+    return _semi(texts, repeated, "left_anti").unionByName(_semi(texts, repeated).distinct())
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -328,8 +339,13 @@ def near_duplicates(
     members = stored(keyed.join(buckets, "key"), "bucket-members")
     pairs = members.where("id != hub").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct()
     ids = stored(members.select("id").distinct(), "bucket-ids")
+    repeated = stored(
+        usable.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1")
+        .select(F.col("doc_id").alias("id")),
+        "repeated-ids",
+    )
     sets = stored(
-        _semi(texts, ids).mapInArrow(_set_rows(width), "id bigint, shingles array<bigint>"),
+        distinct_texts(_semi(texts, ids), repeated).mapInArrow(_set_rows(width), "id bigint, shingles array<bigint>"),
         "shingle-sets",
     )
     labels = connected_components(_confirmed(pairs, sets, percent))

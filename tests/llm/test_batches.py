@@ -74,6 +74,17 @@ def test_mixing_budgets(documents, nothing, edges):
     assert {r["doc_id"] for r in rows(whole)} >= {4, 5, 6, 7, 8, 9, 10, 11, None}
 
 
+def test_mixing_does_not_depend_on_the_order_of_rows(documents):
+    """Rows without doc_id and rows that repeat one have their place by their texts."""
+    made = [(None, f"w{n} x y") for n in range(40)] + [(7, f"v{n} x y") for n in range(40)]
+    docs = documents(*made)
+    picks = [
+        Counter(r["text"] for r in rows(mix_documents(d, budget_percent=50, keep=["text"])))
+        for d in (docs.coalesce(1), docs.orderBy(F.desc("text")).coalesce(1), docs.repartition(7, "text"))
+    ]
+    assert picks[0] == picks[1] == picks[2] and 39 <= picks[0].total() <= 40
+
+
 def brute_top(vectors, k):
     out = set()
     usable = {

@@ -160,6 +160,19 @@ def test_an_id_with_several_texts_is_one_node(documents):
     assert {(r["doc_id"], r["component_id"]) for r in found.collect()} == {(1, 1), (2, 1), (3, 1), (4, 4)}
 
 
+def test_repeated_rows_have_one_set(spark, documents):
+    draw = random.Random(9)
+    family = list(near_family(draw, 1, 6))
+    made = family + family[:2] * 30 + [(1, family[3][1])] + [(None, family[0][1])] * 3
+    docs = documents(*made)
+    rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
+    assert Counter(tuple(r) for r in near_duplicates(docs).collect()) == brute_near(rows, 5, 80)
+    texts = docs.where("doc_id IS NOT NULL").select("doc_id", "text")
+    repeated = spark.createDataFrame([(1,), (2,)], "id bigint")
+    found = [tuple(r) for r in near.distinct_texts(texts, repeated).collect()]
+    assert len(found) == 7 and set(found) == {r for r in rows if r[0] is not None}
+
+
 def brute_lines(rows):
     seen, out = set(), {}
     for doc_id, text in sorted({r for r in rows if r[1] is not None}):
