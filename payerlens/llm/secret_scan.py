@@ -3,12 +3,13 @@
 Candidates are long runs of key characters with a digit. A forest scores each one from its
 length, its transitions between character kinds, how much of it a dictionary covers, the
 path (the document's source) and the neighbouring words. It is trained from labelled
-findings. Where none are given, a bounded sample of documents supplies them: a candidate
-assigned as a quoted string is a finding, any other candidate is a false positive. Quotes
-and sign are no features, so the forest has to learn from the rest.
+findings. Where none are given, the candidates supply them: a candidate assigned as a quoted
+string is a finding, any other candidate is a false positive. Quotes and sign are no
+features, so the forest has to learn from the rest.
 
-The dictionary (words of several documents) and the labelled findings come from at most
-``sample_rows`` documents; candidates are searched in all texts and all of them are scored.
+The dictionary (words of several documents) counts all texts, candidates are searched in all
+texts, and all of them are labelled and scored. Only the forest's training rows are sampled:
+about ``sample_rows`` of each label, so a rare one is there in full.
 """
 
 from __future__ import annotations
@@ -19,13 +20,11 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from payerlens.llm.samples import bounded_sample
-from payerlens.llm.tables import stored
+from payerlens.llm.tables import hash_share, stored
 
 LEAST_LENGTH = 16
 SAMPLE_ROWS = 20_000
-SAMPLE_CHARS = 50_000
-DICTIONARY_WORDS = 20_000
+LEAST_DOCUMENTS = 3  # that a word of the dictionary is in
 TREES, DEPTH, SEED = 20, 6, 11
 THRESHOLD = 0.5
 _RUN = r"[A-Za-z0-9_+/=\-]{%d,}" % LEAST_LENGTH
@@ -75,11 +74,14 @@ def candidates(
 
 
 def dictionary(docs: DataFrame, text_column: str) -> DataFrame:
-    """(entry): words of four letters or more that several documents have, the most frequent first."""
-    words = F.array_distinct(F.regexp_extract_all(F.lower(f"`{text_column}`"), F.lit(r"[a-z]{4,}"), F.lit(0)))
+    """(entry): words of four letters or more that several documents have.
+
+    Letters beside a digit are parts of keys, of which a large corpus repeats any short one.
+    """
+    found = F.regexp_extract_all(F.lower(f"`{text_column}`"), F.lit(r"(?<![a-z0-9])[a-z]{4,}(?![a-z0-9])"), F.lit(0))
     return (
-        docs.select(F.explode(words).alias("entry")).groupBy("entry").count()
-        .where("count > 2").orderBy(F.desc("count"), "entry").limit(DICTIONARY_WORDS).select("entry")
+        docs.select(F.explode(F.array_distinct(found)).alias("entry")).groupBy("entry").count()
+        .where(F.col("count") >= LEAST_DOCUMENTS).select("entry")
     )
 
 
@@ -121,13 +123,25 @@ def with_features(found: DataFrame, entries: DataFrame) -> DataFrame:
 
 
 def assigned_and_quoted() -> Column:
-    """The label of a sampled candidate: a quoted string after an equals sign or colon."""
+    """The label of a candidate: a quoted string after an equals sign or colon."""
     word = F.col("word")
     quoted = word.rlike("[\"'][A-Za-z0-9_+/=\\-]{%d,}[\"']" % LEAST_LENGTH)
     sign = F.col("before").rlike("[=:]$") | word.rlike("[=:][\"']")
     return (quoted & sign).cast("double")
 
 
+def _training_rows(labelled: DataFrame, size: int) -> DataFrame:
+    """About ``size`` rows of each label, never over twice as many."""
+    counts = {r["label"]: r["count"] for r in labelled.groupBy("label").count().collect()}
+    key = F.struct("doc_id", "word_position", "part", "finding")
+    drawn = [
+        labelled.where(F.col("label") == label)
+        .where(hash_share(key, min(1.0, size / max(counts.get(label, 0), 1)))).limit(2 * size)
+        for label in (0.0, 1.0)
+    ]
+    return drawn[0].unionByName(drawn[1]).select(*FEATURES, "label")
+
+
 def scan_secrets(
     docs: DataFrame,
     id_column: str = "doc_id",
@@ -145,24 +159,14 @@ def scan_secrets(
     Repeated rows give repeated candidates.
     """
     found = stored(candidates(docs, id_column, text_column, path_column), "secret-candidates")
-    total = docs.count()
-    text = F.col(f"`{text_column}`")
-    sample = bounded_sample(
-        docs.where(F.length(text) <= SAMPLE_CHARS).select(
-            F.col(f"`{id_column}`").alias("doc_id"), text.alias("text")
-        ),
-        "doc_id", sample_rows, total,
-    )
-    entries = stored(dictionary(sample, "text"), "dictionary")
+    entries = stored(dictionary(docs, text_column), "dictionary")
     described = stored(with_features(found, entries), "secret-features")
     if findings is None:
-        labelled = bounded_sample(described, "doc_id", sample_rows, total).withColumn(
-            "label", assigned_and_quoted()
-        )
+        labelled = described.withColumn("label", assigned_and_quoted())
     else:
-        labelled = described.join(findings.select("finding", "label").distinct(), "finding").limit(2 * sample_rows)
+        labelled = described.join(findings.select("finding", "label").distinct(), "finding")
     columns = ["doc_id", "word_position", "part", "finding"]
-    labelled = stored(labelled.select(*FEATURES, "label"), "labelled-findings")
+    labelled = stored(_training_rows(labelled, sample_rows), "labelled-findings")
     if labelled.select("label").distinct().count() < 2:
         return described.select(
             *columns, F.lit(None).cast("double").alias("score"), F.lit(True).alias("reported")

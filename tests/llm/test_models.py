@@ -12,7 +12,7 @@ from payerlens.llm.dom import Shapes, parse
 from payerlens.llm.html_extract import extract_main_text, main_text
 from payerlens.llm.language_id import identify_languages
 from payerlens.llm.quality import LABELLERS, classify_quality, fit_accuracies, vote_patterns
-from payerlens.llm.secret_scan import scan_secrets
+from payerlens.llm.secret_scan import dictionary, scan_secrets
 from payerlens.llm.tables import read_table
 
 TABLES = "/root/testdata/sf0.01"
@@ -146,3 +146,16 @@ def test_secret_scan(spark, documents, edges, nothing):
     two = scan_secrets(documents((1, "n 1111111111111111 x"), (2, "key a1b2c3d4e5f6a7b8 y")), findings=given)
     assert {r["finding"] for r in two.collect()} == {"1111111111111111", "a1b2c3d4e5f6a7b8"}
     assert pa.__version__
+
+
+def test_secret_dictionary_and_labels_cover_all_documents(spark, documents):
+    """A rare label and the words of long documents count, however few rows the sample has."""
+    long = "lorem " * 10_000 + "Zyzzyva-Quokkafarm-77"
+    rows = [(i, f"see item number 77{i:018d} of many") for i in range(300)]
+    rows += [(1000 + i, f'x apikey = "a{i}b2c3d4e5f6a7b8c9d0e1" y') for i in range(2)]
+    rows += [(2000 + i, long + " quokkafarm") for i in range(3)]
+    found = scan_secrets(documents(*rows), sample_rows=5).collect()
+    assert len(found) == 305 and all(r["score"] is not None for r in found)
+    assert all(r["reported"] for r in found if r["doc_id"] in (1000, 1001))
+    entries = {r["entry"] for r in dictionary(documents(*rows), "text").collect()}
+    assert {"quokkafarm", "zyzzyva", "lorem"} <= entries
