@@ -1,10 +1,12 @@
 """Secret scan with a random forest that removes false positives, in Spark built-ins.
 
-Candidates are long runs of key characters with a digit. A forest scores each one from its
+Candidates are long runs of key characters with a digit, and the values of whatever is named
+like a key (``password: x``, ``"api_key" = "y"``), of any length and characters. A forest scores each one from its
 length, its transitions between character kinds, how much of it a dictionary covers, the
-path (the document's source) and the neighbouring words. It is trained from labelled
+path (the document's source), the neighbouring words and such a name before it. It is trained from labelled
 findings. Where none are given, the candidates supply them: a candidate assigned as a quoted
-string is a finding, any other candidate is a false positive. Quotes and sign are no
+string is a finding, an unquoted value of a key-like name is unlabelled and trains nothing,
+any other candidate is a false positive. Quotes and sign are no
 features, so the forest has to learn from the rest.
 
 The dictionary (words of several documents) counts all texts, candidates are searched in all
@@ -30,46 +32,99 @@ THRESHOLD = 0.5
 _RUN = r"[A-Za-z0-9_+/=\-]{%d,}" % LEAST_LENGTH
 _BLANKS = r"[\x20\x09-\x0D]+"
 _HASHED = 64
+# --- fixed values: parts of names that hold secrets, and how a value is assigned ----------
+_NAME = (
+    r"(?i)(?:pass|pwd|secret|token|key|auth|cred|bearer|jwt|session|cookie|signature|salt|pin|licen[cs]e|"
+    r"webhook|kennwort|contrase|clave|senha)[\w\-.\[\]()]*[\"'`]*"
+)
+_SIGN = r"(?::=|=>|={1,3}|:)"
+# ------------------------------------------------------------------------------------------
+_UNQUOTED = r"(?:(?![&;,][\w.\-\[\]\"']*[=:]).)"  # up to a further assignment
+_QUOTED = r"([\"'`])((?:(?!\1).)*)"
+_INSIDE = _NAME + _SIGN + r"(?:[\"'`][^\"'`]+[\"'`]?|[^\s\"'`]" + _UNQUOTED + "*)"
 
 FEATURES = (
     "length", "digit_share", "letter_share", "capital_share", "hex_share", "kind_changes",
     "case_changes", "distinct_share", "dictionary_share", "path_code", "before_code",
-    "before2_code", "after_code",
+    "before2_code", "after_code", "keyed_code",
 )
 
 
+def _names_next(before2: Column, before: Column) -> Column:
+    """The words before a word end in a key-like name and a sign."""
+    return before.rlike(_NAME + _SIGN + "$") | (
+        before.rlike(f"^{_SIGN}$") & before2.rlike(_NAME + "$")
+    )
+
+
+def _bare(value: Column) -> Column:
+    """A value without its quotes, or without a separator after it."""
+    return F.when(value.rlike("^[\"'`]"), F.regexp_extract(value, "^" + _QUOTED, 2)).otherwise(
+        F.regexp_replace(value, "[,;]+$", "")
+    )
+
+
 def candidates(
     docs: DataFrame, id_column: str, text_column: str, path_column: str
 ) -> DataFrame:
-    """(doc_id, path, word_position, part, finding, before2, before, word, after).
+    """(doc_id, path, word_position, part, finding, keyed, before2, before, word, after).
 
     ``word_position`` counts the white-space separated words of the text from 0, ``part``
-    the candidates inside one word.
+    the candidates inside one word: its runs, then the values of key-like names that are no run.
     """
     text = F.col(f"`{text_column}`")
-    suspicious = docs.where(text.rlike("[0-9]") & text.rlike(_RUN)).select(
+    named = text.rlike(_NAME + r"\s*" + _SIGN)
+    suspicious = docs.where((text.rlike("[0-9]") & text.rlike(_RUN)) | named).select(
         F.col(f"`{id_column}`").alias("doc_id"),
         F.coalesce(F.col(f"`{path_column}`"), F.lit("")).alias("path"),
         F.split(text, _BLANKS).alias("words"),
     )
+    near = lambda at: F.coalesce(F.get("words", at), F.lit(""))
     placed = F.filter(
         F.transform("words", lambda w, i: F.struct(i.alias("i"), w.alias("w"))),
-        lambda x: (F.length(x["w"]) >= LEAST_LENGTH) & x["w"].rlike("[0-9]"),
+        lambda x: ((F.length(x["w"]) >= LEAST_LENGTH) & x["w"].rlike("[0-9]"))
+        | x["w"].rlike(_INSIDE)
+        | _names_next(near(x["i"] - 2), near(x["i"] - 1)),
+    )
+    runs = F.filter(
+        F.regexp_extract_all("word", F.lit(_RUN), F.lit(0)), lambda r: r.rlike("[0-9]")
+    )
+    values = F.transform(
+        F.regexp_extract_all("word", F.lit(_INSIDE), F.lit(0)),
+        lambda v: _bare(F.regexp_replace(v, "^" + _NAME + _SIGN, "")),
+    )
+    following = F.when(
+        _names_next(F.col("before2"), F.col("before")) & ~F.col("word").rlike(f"^{_SIGN}$"),
+        F.array(_bare(F.col("word"))),
+    ).otherwise(F.array().cast("array<string>"))
+    trimmed = lambda v: F.regexp_replace(v, r"^[\"'`(\[{<]+|[\"'`)\]}>.,;:]+$", "")
+    whole = F.filter(
+        F.concat("values", following), lambda v: (v != "") & ~F.array_contains("runs", trimmed(v))
+    )
+    parts = F.concat(
+        F.transform("runs", lambda r: F.struct(r.alias("finding"), F.array_contains("named", r).alias("keyed"))),
+        F.transform(F.array_distinct("whole"), lambda v: F.struct(v.alias("finding"), F.lit(True).alias("keyed"))),
     )
-    near = lambda at: F.coalesce(F.get("words", at), F.lit(""))
     return (
         suspicious.withColumn("hit", F.explode(placed))
         .select(
             "doc_id",
             "path",
             F.col("hit.i").alias("word_position"),
-            F.posexplode(F.regexp_extract_all(F.col("hit.w"), F.lit(_RUN), F.lit(0))).alias("part", "finding"),
             near(F.col("hit.i") - 2).alias("before2"),
             near(F.col("hit.i") - 1).alias("before"),
             F.col("hit.w").alias("word"),
             near(F.col("hit.i") + 1).alias("after"),
         )
-        .where(F.col("finding").rlike("[0-9]"))
+        .withColumn("runs", runs)
+        .withColumn("values", values)
+        .withColumn("named", F.transform(F.concat("values", following), trimmed))
+        .withColumn("whole", whole)
+        .select("*", F.posexplode(parts).alias("part", "found"))
+        .select(
+            "doc_id", "path", "word_position", "part", F.col("found.finding").alias("finding"),
+            F.col("found.keyed").alias("keyed"), "before2", "before", "word", "after",
+        )
     )
 
 
@@ -119,15 +174,24 @@ def with_features(found: DataFrame, entries: DataFrame) -> DataFrame:
         _code(F.col("before")).cast("double").alias("before_code"),
         _code(F.col("before2")).cast("double").alias("before2_code"),
         _code(F.col("after")).cast("double").alias("after_code"),
+        F.col("keyed").cast("double").alias("keyed_code"),
     )
 
 
 def assigned_and_quoted() -> Column:
-    """The label of a candidate: a quoted string after an equals sign or colon."""
-    word = F.col("word")
-    quoted = word.rlike("[\"'][A-Za-z0-9_+/=\\-]{%d,}[\"']" % LEAST_LENGTH)
-    sign = F.col("before").rlike("[=:]$") | word.rlike("[=:][\"']")
-    return (quoted & sign).cast("double")
+    """The label of a candidate: a quoted string after an equals sign or colon.
+
+    Null (no label) for the value of a key-like name that is not quoted.
+    """
+    word, finding = F.col("word"), F.col("finding")
+    quoted = word.rlike("[\"'][A-Za-z0-9_+/=\\-]{%d,}[\"']" % LEAST_LENGTH) | (
+        F.col("keyed") & F.exists(
+            F.array(*[F.lit(q) for q in "\"'`"]),
+            lambda q: word.contains(F.concat(q, finding, q)) | word.endswith(F.concat(q, finding)),
+        )
+    )
+    sign = F.col("before").rlike("[=:]$") | word.rlike("[=:][\"'`]")
+    return F.when(F.col("keyed") & ~quoted, None).otherwise((quoted & sign).cast("double"))
 
 
 def _training_rows(labelled: DataFrame, size: int) -> DataFrame:

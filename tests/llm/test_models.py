@@ -159,3 +159,19 @@ def test_secret_dictionary_and_labels_cover_all_documents(spark, documents):
     assert all(r["reported"] for r in found if r["doc_id"] in (1000, 1001))
     entries = {r["entry"] for r in dictionary(documents(*rows), "text").collect()}
     assert {"quokkafarm", "zyzzyva", "lorem"} <= entries
+
+
+def test_secrets_by_name_have_any_length_and_characters(documents):
+    texts = {
+        'password = "hunter2"': ["hunter2"],
+        "DB_PASSWORD=p@ss.w0rd$! next": ["p@ss.w0rd$!"],
+        'conf {"apiKey":"abcDEFghiJKLmnoPQRstu","n":1}': ["abcDEFghiJKLmnoPQRstu"],
+        "user=a&token=x.y&secret=z&b=1": ["x.y", "z"],
+        "Passwort: geheim, und": ["geheim"],
+        'token = "0123456789abcdef0123"': ["0123456789abcdef0123"],
+        "no assignment of a key here: 17": [],
+    }
+    rows = list(enumerate(texts))
+    found = scan_secrets(documents(*rows)).orderBy("doc_id", "word_position", "part").collect()
+    assert [(r["doc_id"], r["finding"]) for r in found] == [(i, f) for i, t in rows for f in texts[t]]
+    assert all(r["reported"] for r in found)
