@@ -175,3 +175,22 @@ def test_secrets_by_name_have_any_length_and_characters(documents):
     found = scan_secrets(documents(*rows)).orderBy("doc_id", "word_position", "part").collect()
     assert [(r["doc_id"], r["finding"]) for r in found] == [(i, f) for i, t in rows for f in texts[t]]
     assert all(r["reported"] for r in found)
+
+
+def pages_of(spark, *rows):
+    return spark.createDataFrame([*rows], "page_id int, url string, html string")
+
+
+def test_copied_articles_are_no_template(spark):
+    """Copies differ in comments and scripts only; nothing of their article is template."""
+    body = "<html><body><!-- ad {0} --><script>t({0})</script><div><p>Daily magazine</p>{1}</div></body></html>"
+    long = "".join(f"<p>Copied paragraph {k}</p>" for k in range(9))
+    rows = [(n, f"http://a.example/{n}", body.format(n, long)) for n in range(15)]
+    rows += [(n, f"http://a.example/{n}", body.format(n, f"<p>Story {n}</p>")) for n in range(15, 40)]
+    # Near copies: a word differs, so they vote as different pages.
+    rows += [(n, f"http://a.example/{n}", body.format(n, f"{long}<p>Word {n}</p>")) for n in range(40, 52)]
+    texts = {r["page_id"]: r["text"] for r in extract_main_text(pages_of(spark, *rows)).collect()}
+    copied = "\n".join(f"Copied paragraph {k}" for k in range(9))
+    assert {texts[n] for n in range(15)} == {copied}
+    assert all(texts[n] == f"Story {n}" for n in range(15, 40))
+    assert all(texts[n] == f"{copied}\nWord {n}" for n in range(40, 52))
