@@ -86,7 +86,7 @@ def _left_out(node: Node) -> bool:
 
 def _may_stay(node: Node) -> bool:
     """A container that only its name leaves out, which its content can overrule."""
-    return False
+    return node.tag in CONTAINERS and not _named(node, NEVER)
 
 
 def _overruled(root: Node, template: set[int]) -> tuple[set[int], set[int]]:

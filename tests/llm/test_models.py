@@ -194,3 +194,16 @@ def test_copied_articles_are_no_template(spark):
     assert {texts[n] for n in range(15)} == {copied}
     assert all(texts[n] == f"Story {n}" for n in range(15, 40))
     assert all(texts[n] == f"{copied}\nWord {n}" for n in range(40, 52))
+
+
+def test_container_names_do_not_drop_the_article():
+    teaser = "<div class='sidebar'><p>More</p></div>"
+    for name in ("content has-sidebar", "with-sidebar", "has-header", "share-price"):
+        inner = "<h1>Title</h1><p>Long enough text of the article itself</p>"
+        for tag in ("article", "main", "div"):
+            page = f"<body><div class='{name}'><{tag}>{inner}</{tag}></div>{teaser}</body>"
+            assert main_text(parse(page), set()) == "Title\nLong enough text of the article itself", (name, tag)
+    page = "<body><div><p>Post</p></div><div class='comments'><article>A much longer comment here</article></div></body>"
+    assert main_text(parse(page), set()) == "Post"
+    page = "<body><article>Post</article><div class='comment-list'><p>A much longer comment</p></div></body>"
+    assert main_text(parse(page), set()) == "Post"
