@@ -256,7 +256,7 @@ def _shape_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for host, page, code in zip(batch["host"], batch["html"], batch["code"], strict=True):
             root = parse(page)
             own = _page_hash(root)
-            out.append((host, code, 0, own or 0, True))
+            out.append((host, code, shape_of(root), own or 0, own is not None))
         yield pd.DataFrame(out, columns=["host", "code", "shape", "page", "filled"])
 
 
@@ -269,7 +269,7 @@ def _group_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             if groups is None or len(groups) < 2:
                 chosen.append(0 if groups is None else int(groups[0]))
             else:
-                shape, known = 0, {int(g) for g in groups}
+                shape, known = shape_of(parse(page)), {int(g) for g in groups}
                 chosen.append(shape if shape in known else int(groups[0]))
         out["group"] = chosen
         yield out

@@ -207,3 +207,15 @@ def test_container_names_do_not_drop_the_article():
     assert main_text(parse(page), set()) == "Post"
     page = "<body><article>Post</article><div class='comment-list'><p>A much longer comment</p></div></body>"
     assert main_text(parse(page), set()) == "Post"
+
+
+def test_references_by_shape(spark):
+    """Empty pages are no reference, and each layout of a host has its own template."""
+    one = "<html><body><div class='a'><p>Daily magazine</p><p>Story {0}</p></div></body></html>"
+    two = "<html><body><section class='b'><div><h2>Weekly</h2><p>Tale {0}</p></div></section></body></html>"
+    rows = [(n, f"http://a.example/{n}", one.format(n)) for n in range(20)]
+    rows += [(n, f"http://a.example/{n}", two.format(n)) for n in range(20, 35)]
+    rows += [(n, f"http://a.example/{n}", None if n % 2 else "") for n in range(35, 60)]
+    texts = {r["page_id"]: r["text"] for r in extract_main_text(pages_of(spark, *rows)).collect()}
+    assert len(texts) == 60
+    assert all(texts[n] == (f"Story {n}" if n < 20 else f"Tale {n}" if n < 35 else "") for n in texts)
