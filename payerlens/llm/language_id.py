@@ -5,8 +5,9 @@ which all but letters is one blank); a linear layer and softmax give the languag
 trained in numpy by stochastic gradient descent. The temperature and the threshold of
 rejection are calibrated on a part of the training sample that the descent does not see.
 
-Training uses a bounded sample: about ``sample_rows`` labelled documents of at most
-``sample_chars`` characters, evenly over languages. Prediction reads every whole text; since
+Training uses a bounded sample: about ``sample_rows`` labelled documents of any length, evenly
+over languages and at least one of each. Tasks count their n-grams, so the driver gets bounded
+counts instead of texts. Prediction reads every whole text; since
 the mean and the linear layer commute, each n-gram bucket carries its class scores only.
 """
 
@@ -20,23 +21,24 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from payerlens.llm.samples import LETTERS, ngram_buckets, rows_in_blocks
-from payerlens.llm.tables import hash_share, pick
-from payerlens.llm.textbytes import SEGMENT_BYTES, column_bytes, row_sums
+from payerlens.llm.samples import LETTERS, ngram_buckets, packed_counts, rows_in_blocks, unpacked_counts
+from payerlens.llm.tables import pick, stored
+from payerlens.llm.textbytes import SEGMENT_BYTES, column_bytes, row_sums, small_batches
 
 WIDTHS = (3, 4)
 BUCKETS = 1 << 16
 DIMENSION = 8
 SAMPLE_ROWS = 2000
-SAMPLE_CHARS = 20_000
-MOST_LANGUAGES = 1000
+LEAST_EACH = 5  # rows of a language to aim at, however many languages there are
+_HASHES = 1 << 40
 UNKNOWN = "und"
 REJECT_RATE = 0.01  # share of calibration documents that may be rejected
 
 
 class Model(NamedTuple):
     languages: list[str]
-    scores: np.ndarray  # (buckets + 1) x languages; the last row is for n-grams to skip
+    scores: np.ndarray  # (buckets + 1) x languages or dimensions; the last row is for n-grams to skip
+    layer: np.ndarray | None  # dimensions x languages, where there are more languages than dimensions
     bias: np.ndarray
     temperature: float
     threshold: float
@@ -44,14 +46,18 @@ class Model(NamedTuple):
     def predict(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Class index and calibrated probability of every text."""
         raw, offsets = column_bytes(column)
-        logits = np.empty((len(offsets) - 1, len(self.languages)))
-        for first, last in rows_in_blocks(offsets, SEGMENT_BYTES):
-            logits[first:last] = _mean_rows(self.scores, raw, offsets[first : last + 1])
-        logits = (logits + self.bias) / self.temperature
-        chance = np.exp(logits - logits.max(1, keepdims=True))
-        chance /= chance.sum(1, keepdims=True)
-        best = chance.argmax(1)
-        return best, chance[np.arange(len(best)), best]
+        best, top = np.zeros(len(offsets) - 1, np.int64), np.zeros(len(offsets) - 1)
+        for start, end in rows_in_blocks(offsets, SEGMENT_BYTES):
+            for first in range(start, end, 256):
+                last = min(first + 256, end)
+                logits = _mean_rows(self.scores, raw, offsets[first : last + 1])
+                logits = logits if self.layer is None else logits @ self.layer
+                logits = (logits + self.bias) / self.temperature
+                chance = np.exp(logits - logits.max(1, keepdims=True))
+                chance /= chance.sum(1, keepdims=True)
+                best[first:last] = chance.argmax(1)
+                top[first:last] = chance.max(1)
+        return best, top
 
 
 def _grams(part: np.ndarray, own: np.ndarray, width: int) -> np.ndarray:
@@ -86,32 +92,40 @@ def _mean_rows(scores: np.ndarray, raw: np.ndarray, offsets: np.ndarray) -> np.n
     return total / np.maximum(used, 1)[:, None]
 
 
-def _counted(column: pa.Array) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Buckets and shares of each text."""
-    raw, offsets = column_bytes(column)
-    rows = []
-    for start, end in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True):
-        part = LETTERS[raw[start:end]]
-        own = np.array([0, len(part)])
-        grams = np.concatenate([_grams(part, own, w) for w in WIDTHS]) if len(part) else np.zeros(0, np.int64)
-        ids, n = np.unique(grams[grams < BUCKETS], return_counts=True)
-        rows.append((ids, n / max(n.sum(), 1)))
-    return rows
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Language and n-gram counts of each text."""
+    for batch in small_batches(batches):
+        raw, offsets = column_bytes(batch.column("text"))
+        rows = []
+        for start, end in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True):
+            part = LETTERS[raw[start:end]]
+            own = np.array([0, len(part)])
+            grams = np.concatenate([_grams(part, own, w) for w in WIDTHS]) if len(part) else np.zeros(0, np.int64)
+            rows.append(packed_counts(grams, BUCKETS))
+        columns = [pa.array([r[i] for r in rows], pa.binary()) for i in (0, 1)]
+        yield pa.RecordBatch.from_arrays([batch.column("lang"), *columns], ["lang", "ids", "share"])
 
 
-def train(column: pa.Array, labels: list[str], epochs: int = 4, rate: float = 0.1, seed: int = 3) -> Model:
-    """Fits embeddings and softmax; every tenth text calibrates instead."""
+def train(rows: list[tuple[np.ndarray, np.ndarray]], labels: list[str], epochs: int = 4, rate: float = 0.1, seed: int = 3) -> Model:
+    """Fits embeddings and softmax on n-gram shares; every tenth text of a language calibrates instead."""
     languages = sorted(set(labels))
     if not languages:
         raise ValueError("no labelled text to learn from")
-    target = np.array([languages.index(x) for x in labels])
-    rows = _counted(column)
+    places = {x: i for i, x in enumerate(languages)}
+    target = np.array([places[x] for x in labels])
     order = np.random.default_rng(seed)
     embeddings = order.uniform(-1, 1, (BUCKETS, DIMENSION)) / DIMENSION
     layer, bias = order.normal(0, 1, (DIMENSION, len(languages))), np.zeros(len(languages))
     seen_e, seen_l, seen_b = np.full(BUCKETS, 1e-12), np.full(layer.shape, 1e-8), np.full(len(bias), 1e-8)
-    learning = [i for i in range(len(rows)) if i % 10 or len(rows) < 20]
-    held = [i for i in range(len(rows)) if i % 10 == 0]
+    seen, held = dict.fromkeys(labels, 0), []
+    for i, label in enumerate(labels):
+        seen[label] += 1
+        if seen[label] % 10 == 0:  # so every language is learned from
+            held.append(i)
+    if len(rows) < 20 or not held:
+        learning, held = list(range(len(rows))), list(range(0, len(rows), 10))
+    else:
+        learning = sorted(set(range(len(rows))) - set(held))
     steps, done = epochs * len(learning), 0
     for _ in range(epochs):
         for i in order.permutation(learning):
@@ -134,9 +148,11 @@ def train(column: pa.Array, labels: list[str], epochs: int = 4, rate: float = 0.
             bias -= pace * chance / np.sqrt(seen_b)
             seen_e[ids] += share**2 * (back @ back)
             embeddings[ids] -= pace * np.outer(share / np.sqrt(seen_e[ids]), back)
-    scores = np.zeros((BUCKETS + 1, len(languages)), np.float32)
-    scores[:-1] = embeddings @ layer
-    logits = np.array([share @ scores[ids] + bias for ids, share in (rows[i] for i in held)])
+    few = len(languages) <= DIMENSION
+    scores = np.zeros((BUCKETS + 1, len(languages) if few else DIMENSION), np.float32)
+    scores[:-1] = embeddings @ layer if few else embeddings
+    means = np.array([share @ scores[ids] for ids, share in (rows[i] for i in held)])
+    logits = (means if few else means @ layer) + bias
     best, temperature = np.inf, 1.0
     for candidate in np.geomspace(0.05, 20, 60):  # least negative log-likelihood
         z = logits / candidate
@@ -149,7 +165,7 @@ def train(column: pa.Array, labels: list[str], epochs: int = 4, rate: float = 0.
     chance = np.exp(z - z.max(1, keepdims=True))
     top = (chance / chance.sum(1, keepdims=True)).max(1)
     threshold = float(min(np.quantile(top, REJECT_RATE), 0.9))
-    return Model(languages, scores, bias, temperature, threshold)
+    return Model(languages, scores, None if few else layer, bias, temperature, threshold)
 
 
 def _predicted(model: Model) -> Callable:
@@ -172,24 +188,23 @@ def _predicted(model: Model) -> Callable:
     return rows
 
 
-def fit_language_model(
-    labelled: DataFrame, sample_rows: int = SAMPLE_ROWS, sample_chars: int = SAMPLE_CHARS
-) -> Model:
+def fit_language_model(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
     """A model from ``labelled(doc_id, text, lang)``: texts with letters and a language."""
-    usable = labelled.where(
-        F.col("lang").isNotNull() & F.col("text").isNotNull() & (F.length("text") <= sample_chars)
-    ).where(F.col("text").rlike(r"\p{L}"))
-    counts = dict(
-        usable.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES).collect()
+    usable = labelled.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")).select(
+        "text", "lang", F.pmod(F.xxhash64("doc_id", "text"), F.lit(_HASHES)).alias("place")
+    )
+    counts = usable.groupBy("lang").agg(F.count("*").alias("n"), F.min("place").alias("first"))
+    counts = stored(counts, "language-counts")
+    each = max(sample_rows / max(counts.count(), 1), LEAST_EACH)
+    # The row of smallest hash is in whatever the rate.
+    limits = counts.select(
+        "lang", F.greatest("first", (F.lit(_HASHES) * F.least(F.lit(1.0), each / F.col("n"))).cast("long")).alias("most")
     )
-    each = sample_rows / max(len(counts), 1)
-    rate = F.lit(0.0)
-    for language, n in counts.items():
-        rate = F.when(F.col("lang") == language, F.lit(min(1.0, each / n))).otherwise(rate)
-    sample = usable.where(hash_share(F.col("doc_id"), rate)).limit(2 * sample_rows)
-    table = sample.select("text", "lang").toArrow()
-    text = table.column("text").combine_chunks() if table.num_rows else pa.array([], pa.string())
-    return train(text, table.column("lang").to_pylist())
+    sample = usable.join(limits, "lang").where("place <= most").dropDuplicates(["lang", "place"])
+    table = sample.select("lang", "text").mapInArrow(_counted, "lang string, ids binary, share binary").toArrow()
+    found = sorted(zip(*[table.column(c).to_pylist() for c in ("lang", "ids", "share")], strict=True))
+    order = np.random.default_rng(1).permutation(len(found))
+    return train([unpacked_counts(*found[i][1:]) for i in order], [found[i][0] for i in order])
 
 
 def identify_languages(
@@ -203,8 +218,7 @@ def identify_languages(
     """doc_id, held_out, lang_pred, score, accepted for every row.
 
     Learns from rows that are not ``held_out`` (a condition on doc_id, null counts as false)
-    and have text and language. Languages beyond the ``MOST_LANGUAGES`` most frequent are not
-    learned. Texts that are null or have no letter get ``und``, 0.0 and are not accepted.
+    and have text and language, however long the text and rare the language. Texts that are null or have no letter get ``und``, 0.0 and are not accepted.
     ``accepted`` is false as well where the calibrated probability is below the threshold.
     Raises ValueError if nothing can be learned from but there are texts to label.
     """

@@ -48,3 +48,20 @@ def bounded_sample(rows: DataFrame, key: str, size: int, total: int) -> DataFram
     """About ``size`` of ``total`` rows, chosen by the hash of ``key``; never over twice as many."""
     rate = min(1.0, size / max(total, 1))
     return rows.where(hash_share(F.col(key), rate)).limit(2 * size)
+
+
+MOST_COUNTED = 8192  # n-gram buckets of one sampled text, the most frequent: bounds what the driver gets
+
+
+def packed_counts(grams: np.ndarray, buckets: int) -> tuple[bytes, bytes]:
+    """Buckets (uint16) and shares (float32) of one text's n-grams; ``buckets`` itself is left out."""
+    ids, n = np.unique(grams[grams < buckets], return_counts=True)
+    share = n / max(n.sum(), 1)
+    if len(ids) > MOST_COUNTED:
+        most = np.sort(np.argsort(-n, kind="stable")[:MOST_COUNTED])
+        ids, share = ids[most], share[most]
+    return ids.astype(np.uint16).tobytes(), share.astype(np.float32).tobytes()
+
+
+def unpacked_counts(ids: bytes, share: bytes) -> tuple[np.ndarray, np.ndarray]:
+    return np.frombuffer(ids, np.uint16).astype(np.int64), np.frombuffer(share, np.float32).astype(np.float64)

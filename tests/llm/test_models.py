@@ -219,3 +219,13 @@ def test_references_by_shape(spark):
     texts = {r["page_id"]: r["text"] for r in extract_main_text(pages_of(spark, *rows)).collect()}
     assert len(texts) == 60
     assert all(texts[n] == (f"Story {n}" if n < 20 else f"Tale {n}" if n < 35 else "") for n in texts)
+
+
+def test_long_documents_and_rare_languages_are_learned(documents):
+    french = "le chat noir dort sur la grande table rouge "
+    rows = [(i, f"the black cat number {'abcdefgh'[i % 8]} sleeps on the big red table", "en") for i in range(60)]
+    rows += [(100 + i, french * 700, "fr") for i in range(3)]
+    found = {r["doc_id"]: r["lang_pred"] for r in identify_languages(documents(*rows), F.lit(False), sample_rows=20).collect()}
+    assert found == {i: lang for i, _, lang in rows}
+    long = documents(*[r for r in rows if r[0] >= 100])
+    assert {r["lang_pred"] for r in identify_languages(long, F.lit(False)).collect()} == {"fr"}
