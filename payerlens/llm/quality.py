@@ -7,8 +7,8 @@ of documents with their posteriors trains a linear scorer on hashed byte n-grams
 statistics, which scores all documents.
 
 The pattern counts cover all documents and have at most 3 ** labellers rows, whatever the
-input. The sample is bounded by ``sample_rows`` documents of at most ``sample_chars``
-characters; only the training uses it.
+input. The sample is bounded by ``sample_rows`` documents of any length, whose n-grams are
+counted in tasks; only the training uses it.
 """
 
 from __future__ import annotations
@@ -21,13 +21,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from payerlens.llm.samples import bounded_sample, ngram_buckets, rows_in_blocks
+from payerlens.llm.samples import bounded_sample, ngram_buckets, packed_counts, rows_in_blocks, unpacked_counts
 from payerlens.llm.tables import pick
 from payerlens.llm.textbytes import SEGMENT_BYTES, class_counts, column_bytes, row_sums, small_batches, words
 
 BUCKETS = 1 << 16
 SAMPLE_ROWS = 3000
-SAMPLE_CHARS = 20_000
 THRESHOLD = 0.5
 GOOD, BAD, ABSTAIN = 1, 0, 2
 
@@ -178,15 +177,28 @@ class Scorer(NamedTuple):
         return 1 / (1 + np.exp(-np.clip(logit, -60, 60)))
 
 
-def train_scorer(column: pa.Array, targets: np.ndarray, epochs: int = 15, seed: int = 5) -> Scorer:
+def _sample_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Vote pattern, statistic buckets and n-gram counts of each text."""
+    for batch in small_batches(batches):
+        text = batch.column("text")
+        statistics = text_statistics(text)
+        steps = [row.astype(np.int64).tobytes() for row in statistic_buckets(statistics)]
+        rows = [
+            packed_counts(grams[a:b], BUCKETS)
+            for _, _, grams, own in features(text, statistics)
+            for a, b in zip(own[:-1], own[1:], strict=True)
+        ]
+        columns = [pa.array(steps, pa.binary()), *[pa.array([r[i] for r in rows], pa.binary()) for i in (0, 1)]]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(vote_patterns(statistics)), *columns], ["pattern", "steps", "ids", "share"]
+        )
+
+
+def train_scorer(
+    rows: list[tuple[np.ndarray, np.ndarray]], steps: list[np.ndarray], targets: np.ndarray,
+    epochs: int = 15, seed: int = 5,
+) -> Scorer:
     """Logistic regression on soft targets by stochastic gradient steps (AdaGrad)."""
-    statistics = text_statistics(column)
-    steps = statistic_buckets(statistics)
-    rows: list[tuple[np.ndarray, np.ndarray]] = []
-    for _, _, grams, own in features(column, statistics):
-        for a, b in zip(own[:-1], own[1:], strict=True):
-            ids, n = np.unique(grams[a:b][grams[a:b] < BUCKETS], return_counts=True)
-            rows.append((ids, n / max(n.sum(), 1)))
     ngrams, step_weights, bias = np.zeros(BUCKETS + 1), np.zeros(BUCKETS), 0.0
     seen_n, seen_s, seen_b = np.full(BUCKETS + 1, 1e-8), np.full(BUCKETS, 1e-8), 1e-8
     order = np.random.default_rng(seed)
@@ -234,7 +246,6 @@ def classify_quality(
     id_column: str = "doc_id",
     text_column: str = "text",
     sample_rows: int = SAMPLE_ROWS,
-    sample_chars: int = SAMPLE_CHARS,
     threshold: float = THRESHOLD,
     keep: list[str] | None = None,
 ) -> DataFrame:
@@ -255,13 +266,16 @@ def classify_quality(
     posterior = fit_accuracies(patterns, counts) if counted else np.zeros(0)
     posteriors = dict(zip(patterns.tolist(), posterior.tolist(), strict=True))
 
-    short = slim.select("doc_id", "text").where(
-        F.coalesce(F.length("text"), F.lit(0)) <= sample_chars
+    # Rows that repeat or lack an id are drawn by their text as well.
+    keyed = slim.select("text", F.xxhash64("doc_id", "text").alias("key"))
+    sample = (
+        bounded_sample(keyed, "key", sample_rows, int(counts.sum())).select("text")
+        .mapInArrow(_sample_rows, "pattern bigint, steps binary, ids binary, share binary").toArrow()
     )
-    sample = bounded_sample(short, "doc_id", sample_rows, int(counts.sum())).select("text").toArrow()
-    text = sample.column("text").combine_chunks() if sample.num_rows else pa.array([], pa.string())
-    weak = [posteriors[p] for p in vote_patterns(text_statistics(text)).tolist()]
-    scorer = train_scorer(text, np.array(weak))
+    drawn = {name: sample.column(name).to_pylist() for name in sample.column_names}
+    rows = [unpacked_counts(*r) for r in zip(drawn["ids"], drawn["share"], strict=True)]
+    steps = [np.frombuffer(r, np.int64) for r in drawn["steps"]]
+    scorer = train_scorer(rows, steps, np.array([posteriors[p] for p in drawn["pattern"]]))
 
     added = "weak_posterior double, quality_score double, kept boolean"
     inputs = slim.columns

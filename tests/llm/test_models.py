@@ -229,3 +229,13 @@ def test_long_documents_and_rare_languages_are_learned(documents):
     assert found == {i: lang for i, _, lang in rows}
     long = documents(*[r for r in rows if r[0] >= 100])
     assert {r["lang_pred"] for r in identify_languages(long, F.lit(False)).collect()} == {"fr"}
+
+
+def test_quality_learns_from_long_documents(documents):
+    draw = random.Random(2)
+    vocabulary = ["".join(draw.choices("abcdefghij", k=6)) for _ in range(3000)]
+    good = [(i, " ".join(draw.choices(vocabulary, k=4000))) for i in range(30)]
+    bad = [(100 + i, " ".join(f"{w.upper()}###$$$ {w.upper()}###$$$" for w in draw.choices(vocabulary[:20], k=2000))) for i in range(10)]
+    scored = {r["doc_id"]: r for r in classify_quality(documents(*good, *bad)).collect()}
+    assert all(r["kept"] == (i < 100) for i, r in scored.items())
+    assert all(r["quality_score"] != 0.5 for r in scored.values())
