@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from payerlens.llm.exact_dedup import exact_dedup
+from payerlens.llm.filter_audit import audit_filters
 from payerlens.llm.html_extract import extract_main_text
 from payerlens.llm.language_id import identify_languages
 from payerlens.llm.line_dedup import dedup_lines
@@ -67,6 +68,10 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_main_text(read_table(spark, sf_dir, "pages"))
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit_filters(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 LLM_QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
@@ -80,5 +85,6 @@ LLM_QUERIES: dict[str, Query] = {
         op8_near_dedup,
         op9_language_id,
         op10_html_extraction,
+        op11_filter_audit,
     )
 } | {"pipeline": corpus_pipeline.run}

@@ -172,6 +172,51 @@ FROM sized
 """
 
 
+OP11 = rf"""
+WITH base AS (
+    SELECT doc_id, coalesce(text, '') AS t, coalesce(lang, '') AS part,
+           regexp_extract_all(coalesce(text, ''), '{_WORDS}') AS w
+    FROM documents
+), marked AS (
+    SELECT b.doc_id, part, [
+        len(w) < 200,
+        100 * len(list_distinct(w)) < 50 * len(w),
+        100 * len(regexp_extract_all(t, '[A-Z]')) > 3 * length(t),
+        regexp_matches(t, '[#$%&*|]'),
+        coalesce(doc_id > min(doc_id) OVER (PARTITION BY t), false)] AS fails
+    FROM base b
+), known AS (
+    SELECT doc_id, max(coalesce(quality, 0) = 1) AS good, max(coalesce(toxic, 0) = 1) AS toxic FROM labels GROUP BY doc_id
+), rows AS (
+    SELECT part, fails, len(list_filter(fails, lambda x: x)) AS failed,
+           coalesce(good, false) AS good, coalesce(toxic, false) AS toxic
+    FROM marked LEFT JOIN known USING (doc_id)
+), letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+orders AS (
+    SELECT a.x || b.x || c.x || d.x || e.x AS filter_order
+    FROM letters a, letters b, letters c, letters d, letters e
+    WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5
+), steps AS (
+    SELECT filter_order, step::INTEGER AS step,
+           list_transform(string_split(filter_order, ''), lambda x: ascii(x) - 64) AS ids
+    FROM orders, (SELECT unnest(range(1, 6)) AS step)
+), decided AS (
+    SELECT part, filter_order, step, good, toxic, failed, fails[ids[step]] AS here,
+           len(list_filter(ids[1:step - 1], lambda i: fails[i])) > 0 AS before
+    FROM rows, steps
+)
+SELECT part, filter_order, step,
+       count(*) FILTER (NOT here AND NOT before) AS kept,
+       count(*) FILTER (here AND NOT before) AS removed,
+       count(*) FILTER (here AND before) AS redundant,
+       count(*) FILTER (here AND failed = 1) AS unique_fails,
+       count(*) FILTER (here AND NOT before AND good) AS good_lost,
+       count(*) FILTER (here AND NOT before AND toxic) AS toxic_lost,
+       CAST(coalesce(sum(120 // greatest(failed, 1)) FILTER (here), 0) AS BIGINT) AS shapley
+FROM decided GROUP BY ALL
+"""
+
+
 LLM_SQL = {
     "op2_exact_topk": OP2,
     "op3_exact_dedup": OP3,
@@ -179,4 +224,5 @@ LLM_SQL = {
     "op6_mixing": OP6,
     "op7_line_dedup": OP7,
     "op8_near_dedup": OP8,
+    "op11_filter_audit": OP11,
 }
