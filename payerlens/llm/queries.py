@@ -16,11 +16,13 @@ from payerlens.llm.line_dedup import dedup_lines
 from payerlens.llm.mixing import mix_documents
 from payerlens.llm.near_dedup import near_duplicates
 from payerlens.llm.packing import pack
+from payerlens.llm.prefix_trie import prefix_trie
 from payerlens.llm.quality import classify_quality
 from payerlens.llm.secret_scan import scan_secrets
 from payerlens.llm.sql import LLM_SQL
 from payerlens.llm.tables import read_table
 from payerlens.llm.topk_search import top_products
+from payerlens.llm.toxicity import score_toxicity
 
 __all__ = ["LLM_QUERIES", "LLM_SQL"]
 Query = Callable[[SparkSession, str], DataFrame]
@@ -72,6 +74,15 @@ def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit_filters(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie(read_table(spark, sf_dir, "conversations"))
+
+
+def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 3 == 1
+    return score_toxicity(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"), held_out)
+
+
 LLM_QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
@@ -86,5 +97,7 @@ LLM_QUERIES: dict[str, Query] = {
         op9_language_id,
         op10_html_extraction,
         op11_filter_audit,
+        op12_prefix_trie,
+        op13_toxicity,
     )
 } | {"pipeline": corpus_pipeline.run}

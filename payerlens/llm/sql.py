@@ -217,6 +217,42 @@ FROM decided GROUP BY ALL
 """
 
 
+_BIT = "CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END"
+_CRC = "xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(conv_id::VARCHAR, ''), lambda d: ascii(d)::BIGINT)), lambda c, b: xor(c >> 8, bits[(xor(c, b) & 255) + 1])), 4294967295)"
+
+OP12 = f"""
+WITH bits AS (
+    SELECT list(list_reduce(list_prepend(n, list_transform(range(8), lambda x: x)), lambda c, x: {_BIT}) ORDER BY n) AS bits
+    FROM (SELECT unnest(range(256)) AS n)
+), named AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL
+), own AS (
+    SELECT conv_id, list({{'role': role, 'text': text}} ORDER BY turn NULLS FIRST,
+                         sha256(strlen(role) || ':' || role || text)) AS turns
+    FROM named GROUP BY conv_id
+), heads AS (SELECT conv_id, turns, {_CRC} % 9 AS h FROM own, bits),
+built AS MATERIALIZED (
+    SELECT o.conv_id, list_concat(coalesce(b.turns[1:o.h], []), o.turns[o.h + 1:]) AS t
+    FROM heads o LEFT JOIN own b ON b.conv_id = o.conv_id - o.conv_id % 5
+), members AS MATERIALIZED (
+    SELECT conv_id, t[1:depth] AS prefix, depth, len(t) = depth AS ends
+    FROM (SELECT conv_id, t, unnest(range(0, len(t) + 1)) AS depth FROM built)
+), nodes AS MATERIALIZED (
+    SELECT prefix, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+           (count(*) - 1) * coalesce(strlen(prefix[depth].text), 0) AS saved,
+           sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (ends), '')) AS ends_sha256,
+           bool_and(ends) AS leaf
+    FROM members GROUP BY prefix, depth
+), below AS (
+    SELECT a.prefix, sum(b.leaf::INT)::BIGINT AS n_leaves, sum(b.saved)::BIGINT AS saved_tokens,
+           count(*) FILTER (b.depth = a.depth + 1) AS n_children
+    FROM nodes a JOIN nodes b ON b.prefix[1:a.depth] = a.prefix AND b.depth >= a.depth GROUP BY a.prefix
+)
+SELECT n.conv_id, n.depth::BIGINT AS depth, p.conv_id AS parent_conv_id, n.n_convs, n_children, n_leaves, saved_tokens, n.ends_sha256
+FROM nodes n JOIN below USING (prefix) LEFT JOIN nodes p ON n.depth > 0 AND p.depth = n.depth - 1 AND p.prefix = n.prefix[1:n.depth - 1]
+"""
+
+
 LLM_SQL = {
     "op2_exact_topk": OP2,
     "op3_exact_dedup": OP3,
@@ -225,4 +261,5 @@ LLM_SQL = {
     "op7_line_dedup": OP7,
     "op8_near_dedup": OP8,
     "op11_filter_audit": OP11,
+    "op12_prefix_trie": OP12,
 }
