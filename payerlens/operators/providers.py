@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from payerlens.functions import dollars, exact_ratio
@@ -21,23 +21,73 @@ def provider_profile(claims: DataFrame) -> DataFrame:
     )
 
 
+def _moments() -> list[Column]:
+    cents = (F.col("avg_billed").cast("decimal(18,2)") * 100).cast("decimal(19,0)")
+    square = F.try_multiply(cents, cents).cast("decimal(38,0)")
+    overflow = F.max(cents.isNotNull() & square.isNull())
+    return [
+        F.count(cents).alias("n"),
+        F.coalesce(F.sum(cents.cast("decimal(38,0)")), F.lit(0)).cast("decimal(38,0)").alias("total"),
+        F.when(~F.coalesce(overflow, F.lit(False)), F.coalesce(F.try_sum(square), F.lit(0)))
+        .cast("decimal(38,0)").alias("squares"),
+    ]
+
+
+def cohort_moments(profile: DataFrame) -> DataFrame:
+    """(n, total, squares) of the averages in cents: exact integers, so moments of parts add up.
+
+    ``squares`` is NULL where 38 digits do not hold it.
+    """
+    return profile.agg(*_moments())
+
+
+def add_moments(moments: DataFrame) -> DataFrame:
+    """The moments of all parts together."""
+    return moments.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("n"),
+        F.coalesce(F.sum("total"), F.lit(0)).cast("decimal(38,0)").alias("total"),
+        F.when(F.count("squares") == F.count("*"), F.coalesce(F.try_sum("squares"), F.lit(0)))
+        .cast("decimal(38,0)").alias("squares"),
+    )
+
+
+def mean_of_moments() -> Column:
+    """Mean in dollars; 0 without values."""
+    return F.coalesce(
+        F.try_divide(F.col("total").cast("double"), F.col("n").cast("double")) / 100, F.lit(0.0)
+    )
+
+
+def deviation_of_moments() -> Column:
+    """Sample deviation in dollars; 0 for fewer than two values.
+
+    n * squares - total * total is exact where 38 digits hold it. Beyond that doubles take
+    over, still as a function of the exact moments. NULL without the sum of squares.
+    """
+    n = F.col("n").cast("decimal(19,0)")
+    exact = F.try_subtract(
+        F.try_multiply(n, F.col("squares")).cast("decimal(38,0)"),
+        F.try_multiply(F.col("total"), F.col("total")).cast("decimal(38,0)"),
+    ).cast("double")
+    total, squares = F.col("total").cast("double"), F.col("squares").cast("double")
+    rough = F.greatest(F.col("n") * squares - total * total, F.lit(0.0))
+    pairs = F.col("n").cast("double") * (F.col("n") - 1)
+    return F.when(F.col("n") > 1, F.sqrt(F.coalesce(exact, rough) / pairs) / 100).otherwise(0.0)
+
+
 def provider_outliers(profile: DataFrame, z_threshold: float = 2.0) -> DataFrame:
     """Every provider of a profile with its z-score flag.
 
     The profile is read twice, for the cohort and for the rows: pass a stored
     one where it comes from an expensive plan. Mean and sample deviation are
-    taken over the rounded averages, the mean on decimals: it does not depend on the order
-    of rows. They reach the rows as a scalar subquery:
+    taken over the rounded averages, from exact moments: threshold and flag are the same
+    to the last bit however the rows are partitioned. They reach the rows as a scalar subquery:
     no driver round trip, no join. The flag compares with the unrounded
     threshold. One provider has no deviation, so its threshold is the mean.
     """
-    cohort = profile.agg(
-        F.struct(
-            F.coalesce(
-                F.avg(F.col("avg_billed").cast("decimal(18,2)")).cast("double"), F.lit(0.0)
-            ).alias("mean"),
-            F.coalesce(F.stddev_samp("avg_billed"), F.lit(0.0)).alias("deviation"),
-        ).alias("cohort")
+    deviation = F.coalesce(deviation_of_moments(), "rough", F.lit(0.0))
+    cohort = profile.agg(*_moments(), F.stddev_samp("avg_billed").alias("rough")).select(
+        F.struct(mean_of_moments().alias("mean"), deviation.alias("deviation")).alias("cohort")
     ).scalar()
     threshold = cohort["mean"] + F.lit(float(z_threshold)) * cohort["deviation"]
     return profile.select(

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -44,3 +46,101 @@ def _copies(left: DataFrame, right: DataFrame) -> DataFrame:
         F.count_if("_left").alias("left_copies"),
         F.count_if(~F.col("_left")).alias("right_copies"),
     )
+
+
+LEAVES, FANOUT = 4096, 16  # of the tree of hashes: three levels
+
+
+def _hash(columns: list[str], seed: int = 0) -> Column:
+    return F.xxhash64(F.lit(seed), *[v for c in columns for v in (F.col(c), F.col(c).isNull())])
+
+
+def range_digests(sides: dict[str, DataFrame], keys: list[str]) -> DataFrame:
+    """(side, leaf, rows, digest): what each side holds in each of 4,096 ranges of the keys' hash.
+
+    A digest is the sum of the rows' hashes: it does not depend on their order, and copies
+    count. A task sends as many rows as there are leaves, whatever it reads.
+    """
+    columns = sorted(next(iter(sides.values())).columns)
+    tagged = [
+        side.select(
+            F.lit(name).alias("side"),
+            F.pmod(_hash(keys), F.lit(LEAVES)).cast("int").alias("leaf"),
+            _hash(columns, 1).cast("decimal(20,0)").alias("row_hash"),
+        )
+        for name, side in sides.items()
+    ]
+    return reduce(DataFrame.unionByName, tagged).groupBy("side", "leaf").agg(
+        F.count("*").alias("rows"), F.sum("row_hash").alias("digest")
+    )
+
+
+def differing_leaves(digests: DataFrame, n_sides: int) -> DataFrame:
+    """(leaf) of the ranges where the sides differ, found from the root of the tree downwards.
+
+    A node is the sum of what is below it; below a node in which all sides agree nothing
+    is looked at.
+    """
+    node = None
+    for below in (LEAVES // FANOUT, FANOUT, 1):
+        step = digests.withColumn("node", F.floor(F.col("leaf") / below).cast("int"))
+        if node is not None:
+            parent = F.floor(F.col("node") / FANOUT).cast("int")
+            step = step.join(F.broadcast(node), parent == F.col("differing"), "left_semi")  # 4,096 rows at most
+        sums = step.groupBy("node", "side").agg(F.sum("rows").alias("rows"), F.sum("digest").alias("digest"))
+        node = (
+            sums.groupBy("node").agg(
+                F.count("*").alias("sides"),
+                *[f(c).alias(f"{f.__name__}_{c}") for c in ("rows", "digest") for f in (F.min, F.max)],
+            )
+            .where((F.col("sides") < n_sides) | (F.col("min_rows") != F.col("max_rows")) | (F.col("min_digest") != F.col("max_digest")))
+            .select(F.col("node").alias("differing"))
+        )
+    return node.withColumnRenamed("differing", "leaf")
+
+
+def reconcile_sides(sides: dict[str, DataFrame], keys: list[str], digests: DataFrame | None = None) -> DataFrame:
+    """(side, total_rows, compared_rows, agreeing_rows, differing_rows) of any number of sides.
+
+    A row agrees if all sides hold it equally often. Only rows in differing ranges are
+    compared, all sides in one grouping; if the sides agree, no row is moved. ``digests`` is
+    the stored result of ``range_digests``, which is read more than once.
+    """
+    names = list(sides)
+    columns = sorted(sides[names[0]].columns)
+    for name in names:
+        if sorted(sides[name].columns) != columns:
+            raise ValueError(f"columns differ: {columns} and {sorted(sides[name].columns)} of {name}")
+    digests = range_digests(sides, keys) if digests is None else digests
+    leaves = differing_leaves(digests, len(names))
+    leaf = F.pmod(_hash(keys), F.lit(LEAVES)).cast("int")
+    tagged = [
+        side.select(*columns, *[F.lit(int(n == name)).alias(f"_copies_{i}") for i, n in enumerate(names)])
+        .withColumn("leaf", leaf).join(F.broadcast(leaves), "leaf", "left_semi")
+        for name, side in sides.items()
+    ]
+    copies = [f"_copies_{i}" for i in range(len(names))]
+    compared = reduce(DataFrame.unionByName, tagged).groupBy(*columns).agg(*[F.sum(c).alias(c) for c in copies])
+    agrees = F.lit(True)
+    for c in copies[1:]:
+        agrees = agrees & (F.col(c) == F.col(copies[0]))
+    counted = compared.withColumn("_agrees", agrees).agg(
+        *[F.coalesce(F.sum(c), F.lit(0)).alias(f"n_{i}") for i, c in enumerate(copies)],
+        *[F.coalesce(F.sum(F.when(~F.col("_agrees"), F.col(c))), F.lit(0)).alias(f"d_{i}") for i, c in enumerate(copies)],
+    )
+    found = counted.select(
+        F.inline(F.array(*[
+            F.struct(
+                F.lit(name).alias("side"),
+                F.col(f"n_{i}").cast("long").alias("compared_rows"),
+                F.col(f"d_{i}").cast("long").alias("differing_rows"),
+            )
+            for i, name in enumerate(names)
+        ]))
+    )
+    totals = digests.groupBy("side").agg(F.sum("rows").alias("total_rows"))
+    total = F.coalesce("total_rows", F.lit(0))
+    return found.join(totals, "side", "left").select(
+        "side", total.alias("total_rows"), "compared_rows",
+        (total - F.col("differing_rows")).alias("agreeing_rows"), "differing_rows",
+    )

@@ -13,6 +13,7 @@ from payerlens.operators.providers import provider_profile, top_providers
 from payerlens.plans.reports import AGGREGATES, FEEDS, REPORTS
 from payerlens.schemas import MONTH
 from payerlens.session import build_session
+from payerlens.sources.runs import run_folder
 from payerlens.sources.tables import read_aggregate, read_aggregate_csv, read_fact, table_path
 
 ANALYST_REPORTS = [
@@ -63,10 +64,11 @@ def main(argv: Sequence[str] | None = None) -> None:
     args = parser.parse_args(argv)
 
     spark = build_session("payerlens-analytics")
-    fact = read_fact(spark, args.curated_base, last_month=args.last_month)
-    outliers = read_aggregate(spark, args.curated_base, "agg_provider_outliers")
+    base = run_folder(spark, args.curated_base)  # once, so that all results are of one run
+    fact = read_fact(spark, base, last_month=args.last_month)
+    outliers = read_aggregate(spark, base, "agg_provider_outliers")
     reports = analyst_reports(fact, outliers, args.first_month)
-    results = reports | chart_feeds(spark, args.curated_base)
+    results = reports | chart_feeds(spark, base)
     for name, result in results.items():
         if args.out:
             result.write.mode("overwrite").option("header", True).csv(table_path(args.out, name))

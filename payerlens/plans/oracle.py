@@ -123,6 +123,17 @@ _FLAGGED = f"""{_CLAIMS}, {_STAYS}, flagged AS (
     LEFT JOIN readmitted r ON c.member_id = r.stay_member AND c.service_date = r.stay_date
 )"""
 
+_FAILED = """failed AS (
+    SELECT row_number() OVER (PARTITION BY claim_id ORDER BY claim_status) = 1 AS first,
+           list_filter([CASE WHEN claim_id IS NULL THEN 'claim_id_missing' END,
+                        CASE WHEN member_id IS NULL THEN 'member_id_missing' END,
+                        CASE WHEN service_date IS NULL THEN 'service_date_unreadable' END,
+                        CASE WHEN claim_status NOT IN ('paid', 'partially_paid', 'denied') THEN 'claim_status_unknown' END,
+                        CASE WHEN billed_amount < 0 THEN 'billed_amount_negative' END],
+                       lambda x: x IS NOT NULL) AS failures
+    FROM feed
+)"""
+
 _MONTHLY = """monthly AS (
     SELECT service_month, plan_type,
            CAST(sum(paid_amount) AS DOUBLE) AS total_paid,
@@ -221,6 +232,46 @@ def oracle_queries() -> dict[str, str]:
                    count(*) AS right_rows, count(*) AS matched_rows,
                    CAST(0 AS BIGINT) AS left_only_rows, CAST(0 AS BIGINT) AS right_only_rows
             FROM monthly"""),
+        "audit_by_rule": (f"{_CLAIMS}, {_FAILED}", """
+            SELECT rule, (SELECT count(*) FROM failed WHERE list_contains(failures, rule)) AS raw_rows,
+                   (SELECT count(*) FROM failed WHERE first AND list_contains(failures, rule)) AS claims,
+                   (SELECT count(*) FROM failed WHERE first AND failures = [rule]) AS only_rule
+            FROM (SELECT unnest(['claim_id_missing', 'member_id_missing', 'service_date_unreadable',
+                                 'claim_status_unknown', 'billed_amount_negative',
+                                 'billed_amount_unreadable']) AS rule)
+            UNION ALL
+            SELECT 'none', count(*) FILTER (len(failures) = 0),
+                   count(*) FILTER (first AND len(failures) = 0), CAST(0 AS BIGINT) FROM failed"""),
+        "clean_claims_two_phase": (_FLAGGED, """
+            SELECT * REPLACE (
+                CAST(billed_amount AS DOUBLE) AS billed_amount,
+                CAST(allowed_amount AS DOUBLE) AS allowed_amount,
+                CAST(paid_amount AS DOUBLE) AS paid_amount)
+            FROM flagged"""),
+        "monthly_spend_from_sets": (f"{_CLAIMS}, {_MONTHLY}", "SELECT * FROM monthly"),
+        "pmpm_from_sets": (_CLAIMS, f"""
+            SELECT service_month, plan_type,
+                   {_ratio(_cents("sum(paid_amount)"), "count(DISTINCT member_id) * 100", 2)}
+                       AS pmpm
+            FROM claims GROUP BY ALL"""),
+        "rolling_quarter_members": (f"""{_CLAIMS}, groups AS (
+            SELECT DISTINCT service_month, plan_type FROM claims
+        )""", """
+            SELECT g.service_month, g.plan_type, count(DISTINCT c.member_id) AS distinct_members
+            FROM groups g JOIN claims c ON c.plan_type = g.plan_type AND c.service_month <= g.service_month
+             AND c.service_month >= strftime(CAST(g.service_month || '-01' AS DATE) - INTERVAL 2 MONTH, '%Y-%m')
+            GROUP BY ALL"""),
+        "reconcile_three_sides": (_CLAIMS, """
+            SELECT side, CASE WHEN side = 'feed' THEN f.n ELSE c.n END AS total_rows, c.n AS agreeing_rows,
+                   CASE WHEN side = 'feed' THEN f.n - c.n ELSE 0 END AS differing_rows
+            FROM (SELECT unnest(['feed', 'fact', 'warehouse']) AS side),
+                 (SELECT count(*) AS n FROM one) f, (SELECT count(*) AS n FROM claims) c"""),
+        "load_mixed_files": (_CLAIMS, """
+            SELECT service_month, count(*) AS claim_count,
+                   CAST(sum(billed_amount) AS DOUBLE) AS total_billed,
+                   CAST(sum(allowed_amount) AS DOUBLE) AS total_allowed,
+                   CAST(sum(paid_amount) AS DOUBLE) AS total_paid
+            FROM claims GROUP BY ALL"""),
         "monthly_spend": (f"{_CLAIMS}, {_MONTHLY}", "SELECT * FROM monthly"),
         "diagnosis_cost": (
             f"{_CLAIMS}, {_DIAGNOSIS}", "SELECT * EXCLUDE (exact_paid) FROM diagnosis"

@@ -5,25 +5,25 @@ from __future__ import annotations
 import argparse
 import sys
 from collections.abc import Sequence
-from datetime import UTC, datetime
 from typing import NamedTuple
-from uuid import uuid4
 
 from pyspark.sql import SparkSession
 
-from payerlens.operators.cleaning import clean
+from payerlens.operators.cleaning import rules, survivors_with_reasons
 from payerlens.operators.providers import provider_outliers, provider_profile
 from payerlens.operators.summary import claim_summary
 from payerlens.plans.reports import AGGREGATES, FROM_SUMMARY, REPORTS
 from payerlens.plans.workspace import store
 from payerlens.session import build_session
-from payerlens.sources.catalog import DATABASE, list_tables, register_curated
+from payerlens.sources.catalog import DATABASE, forget_runs, list_tables, publish_views
 from payerlens.sources.raw_csv import load_raw
+from payerlens.sources.runs import commit_run, current_run, expire_runs, new_run
 from payerlens.sources.tables import (
+    FACT,
     read_fact,
     table_path,
     write_aggregate,
-    write_fact,
+    write_audited_fact,
     write_fact_csv,
 )
 
@@ -42,18 +42,29 @@ def run_pipeline(
 ) -> Audit:
     """Cleans once and writes the fact; everything else reads the written fact.
 
-    The fact is therefore parsed and de-duplicated a single time, and all outputs agree.
-    It is scanned for its CSV copy, the provider profile, the monthly spend and a summary
-    from which the other four aggregates follow, each time with the columns in question.
-    A lost executor costs the current job's tasks, not the work already written.
+    All tables go into a new run folder below ``output_base``; the run is committed when the
+    last one is complete, and only then do readers of the base see it (``sources.runs``).
+    A run that fails or is killed leaves them on the run before.
+
+    The feed is read once. It is parsed and de-duplicated a single time, the audit is counted while
+    the fact is written, and all outputs agree. The fact is scanned for its CSV copy, the
+    provider profile, the monthly spend and a summary from which the other four aggregates
+    follow, each time with the columns in question. A lost executor costs the current job's
+    tasks, not the work already written.
     """
-    raw = load_raw(spark, input_path)
-    write_fact(clean(raw), output_base)
-    fact = read_fact(spark, output_base)
+    return _run(spark, input_path, output_base, z_threshold, fact_csv)[1]
+
+
+def _run(
+    spark: SparkSession, input_path: str, output_base: str, z_threshold: float, fact_csv: bool
+) -> tuple[str, Audit]:
+    run_id, run_base = new_run(output_base)
+    counts = write_audited_fact(survivors_with_reasons(load_raw(spark, input_path)), run_base)
+    fact = read_fact(spark, run_base)
     if fact_csv:
-        write_fact_csv(spark, output_base)
-    profile = store(provider_profile(fact), table_path(output_base, "_work/provider_profile"))
-    summary = store(claim_summary(fact), table_path(output_base, "_work/claim_summary"))
+        write_fact_csv(spark, run_base)
+    profile = store(provider_profile(fact), table_path(run_base, "_work/provider_profile"))
+    summary = store(claim_summary(fact), table_path(run_base, "_work/claim_summary"))
     for table, report in AGGREGATES.items():
         if report == "provider_outliers":
             aggregate = provider_outliers(profile, z_threshold)
@@ -61,10 +72,11 @@ def run_pipeline(
             aggregate = FROM_SUMMARY[report](summary)
         else:
             aggregate = REPORTS[report].build(fact)
-        write_aggregate(aggregate, output_base, table)
-    # The stored count comes from file footers; counting the feed is one scan
-    # without a shuffle. Accumulators would count retried tasks twice.
-    return Audit(raw.count(), fact.count())
+        write_aggregate(aggregate, run_base, table)
+    audit = Audit(counts["raw_rows"], counts["clean_rows"])
+    rejected = {rule: counts[rule] for rule in rules()}
+    commit_run(spark, output_base, run_id, [FACT, *AGGREGATES], *audit, rejected)
+    return run_base, audit
 
 
 def publish(
@@ -75,14 +87,13 @@ def publish(
     z_threshold: float = 2.0,
     fact_csv: bool = True,
 ) -> tuple[str, Audit]:
-    """Runs into a new folder below ``output_base`` and registers it when all tables are complete.
+    """Runs the pipeline and switches the catalog's views to the new run.
 
-    A run that fails leaves the catalog as it was, over the tables of the run before;
-    those stay on storage until somebody deletes them. Returns the folder and the audit.
+    A run that fails leaves the catalog as it was, over the tables of the run before.
+    Returns the run's folder and the audit.
     """
-    run_base = table_path(output_base, f"run-{datetime.now(UTC):%Y%m%dT%H%M%S}-{uuid4().hex[:8]}")
-    audit = run_pipeline(spark, input_path, run_base, z_threshold, fact_csv)
-    register_curated(spark, run_base, database)
+    run_base, audit = _run(spark, input_path, output_base, z_threshold, fact_csv)
+    publish_views(spark, output_base, database)
     return run_base, audit
 
 
@@ -92,29 +103,30 @@ def main(argv: Sequence[str] | None = None) -> None:
     parser.add_argument("--output-base", required=True, help="directory of the curated tables")
     parser.add_argument("--z-threshold", type=float, default=2.0)
     parser.add_argument("--no-fact-csv", action="store_true", help="skip the fact's CSV copy")
-    target = parser.add_mutually_exclusive_group()
-    target.add_argument("--register", action="store_true", help="register catalog tables")
-    target.add_argument(
-        "--publish", action="store_true",
-        help="write a new run folder below the output base and register it when it is complete",
+    parser.add_argument(
+        "--register", "--publish", dest="register", action="store_true",
+        help="switch the catalog's views to the new run",
     )
     parser.add_argument("--database", default=DATABASE)
+    parser.add_argument(
+        "--expire", type=int, metavar="N",
+        help="afterwards delete runs that at least N newer ones replaced, the newest a day ago or earlier",
+    )
     args = parser.parse_args(argv)
 
     spark = build_session("payerlens-pipeline")
-    fact_csv = not args.no_fact_csv
-    if args.publish:
-        base, audit = publish(
-            spark, args.input, args.output_base, args.database, args.z_threshold, fact_csv
-        )
-        print(f"Run folder: {base}")
-    else:
-        audit = run_pipeline(spark, args.input, args.output_base, args.z_threshold, fact_csv)
+    base, audit = _run(spark, args.input, args.output_base, args.z_threshold, not args.no_fact_csv)
+    print(f"Run folder: {base}")
     if args.register:
-        register_curated(spark, args.output_base, args.database)
-    if args.register or args.publish:
+        publish_views(spark, args.output_base, args.database)
         print("Tables: " + ", ".join(list_tables(spark, args.database)))
     print(f"Raw rows: {audit.raw_rows}, clean rows: {audit.clean_rows}")
+    for rule, claims in current_run(spark, args.output_base).rejected.items():
+        print(f"{rule}: {claims}")
+    if args.expire:
+        gone = expire_runs(spark, args.output_base, keep=args.expire)
+        forget_runs(spark, gone, args.database)
+        print(f"Expired runs: {len(gone)}")
 
 
 if __name__ == "__main__":

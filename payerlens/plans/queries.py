@@ -9,10 +9,26 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from payerlens.functions import dollars
-from payerlens.operators.cleaning import audit_rows, clean, keep_one_per_key
+from payerlens.operators.cleaning import (
+    audit_by_rule,
+    audit_rows,
+    clean,
+    clean_repeats,
+    keep_one_per_key,
+    repeated_keys,
+    survivors_with_reasons,
+)
+from payerlens.operators.member_sets import (
+    member_sets,
+    monthly_totals,
+    number_members,
+    pmpm_from_sets,
+    rolling_members,
+    spend_from_sets,
+)
 from payerlens.operators.members import flag_inpatient, readmission_days
 from payerlens.operators.providers import provider_profile
-from payerlens.operators.reconcile import reconcile
+from payerlens.operators.reconcile import range_digests, reconcile, reconcile_sides
 from payerlens.operators.spend import monthly_spend
 from payerlens.plans.analyst_sql import run_sql
 from payerlens.plans.reports import FEEDS, FROM_PROFILE, REPORTS
@@ -22,6 +38,7 @@ from payerlens.sources.order_feed import claims_feed
 from payerlens.sources.tables import (
     FACT,
     read_aggregate,
+    read_fact,
     read_fact_by_path,
     table_path,
     write_aggregate,
@@ -30,6 +47,8 @@ from payerlens.sources.tables import (
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+MOST_REPEATS = 2_000_000  # repeating claim ids, 16 MB of hashes, that are sent to all tasks
+
 # Reports that read the readmission flag; all others skip the join that sets it.
 _NEEDS_FLAG = {"readmissions"}
 
@@ -92,6 +111,90 @@ def reconcile_monthly(spark: SparkSession, tables: str) -> DataFrame:
     )
 
 
+def audit_of_rules(spark: SparkSession, tables: str) -> DataFrame:
+    """What each cleaning rule rejects; the row of what passes is named ``none``."""
+    return audit_by_rule(claims_feed(spark, tables)).withColumn("rule", F.coalesce("rule", F.lit("none")))
+
+
+def clean_claims_two_phase(spark: SparkSession, tables: str) -> DataFrame:
+    """The clean claims; only rows of claim ids that repeat are shuffled to find survivors."""
+    feed = claims_feed(spark, tables, with_flag=True)
+    claims = two_phase_claims(feed)
+    return claims.select(
+        *[dollars(F.col(c)).alias(c) if c in MONEY_COLUMNS else c for c in FACT_COLUMNS]
+    )
+
+
+def two_phase_claims(feed: DataFrame, most_broadcast: int = MOST_REPEATS) -> DataFrame:
+    repeats = store(repeated_keys(feed, "claim_id"), shared_folder(feed.sparkSession, "repeated-claims"))
+    return clean_repeats(feed, repeats, broadcast=repeats.count() <= most_broadcast)
+
+
+def _member_tables(spark: SparkSession, tables: str) -> tuple[DataFrame, DataFrame]:
+    """Stored totals and member sets of the clean claims; what reads them does not read the claims."""
+    columns = [MONTH, "plan_type", "member_id", "billed_amount", "paid_amount"]
+    claims = store(_claims(spark, tables).select(*columns), shared_folder(spark, "claims"))
+    numbers = store(number_members(claims), shared_folder(spark, "member-numbers"))
+    return tuple(
+        store(df, shared_folder(spark, name))
+        for name, df in (("monthly-totals", monthly_totals(claims)), ("member-sets", member_sets(claims, numbers)))
+    )
+
+
+def monthly_spend_from_sets(spark: SparkSession, tables: str) -> DataFrame:
+    return spend_from_sets(*_member_tables(spark, tables))
+
+
+def monthly_pmpm_from_sets(spark: SparkSession, tables: str) -> DataFrame:
+    return pmpm_from_sets(*_member_tables(spark, tables))
+
+
+def rolling_quarter_members(spark: SparkSession, tables: str) -> DataFrame:
+    """Members with a claim in a month or the two before it, by plan."""
+    return rolling_members(_member_tables(spark, tables)[1])
+
+
+def reconcile_three_sides(spark: SparkSession, tables: str) -> DataFrame:
+    """Feed, curated fact and bulk-loaded copy by claim: rejected claims are what differs.
+
+    The feed counts each distinct claim id once, whatever the rules say of it.
+    """
+    base = shared_folder(spark, "reconcile_three_sides")
+    feed = claims_feed(spark, tables)
+    survivors = store(survivors_with_reasons(feed).where("claim_id IS NOT NULL"), table_path(base, "survivors"))
+    write_fact(survivors.where("_reasons = 0").select(*FACT_COLUMNS), base)
+    amounts = [F.col(c).cast(MONEY).alias(c) for c in ("billed_amount", "paid_amount")]
+    sides = {
+        name: side.select("claim_id", "member_id", MONTH, *amounts)
+        for name, side in (
+            ("feed", survivors),
+            ("fact", read_fact(spark, base)),
+            ("warehouse", read_fact_by_path(spark, table_path(base, FACT))),
+        )
+    }
+    digests = store(range_digests(sides, ["claim_id"]), table_path(base, "digests"))
+    # How many rows are compared depends on hashes only.
+    return reconcile_sides(sides, ["claim_id"], digests).drop("compared_rows")
+
+
+def load_mixed_files(spark: SparkSession, tables: str) -> DataFrame:
+    """Three files of differing types in each month's directory, loaded together and summed up."""
+    path = shared_folder(spark, "load_mixed_files")
+    claims = store(_claims(spark, tables), f"{path}/claims")
+    kinds = {0: "double", 1: "string", 2: "decimal(20,4)"}
+    for part, money in kinds.items():
+        (
+            claims.where(F.pmod(F.xxhash64("claim_id"), F.lit(len(kinds))) == part)
+            .withColumns({c: F.col(c).cast(money) for c in MONEY_COLUMNS})
+            .hint("rebalance", MONTH).write.mode("append").partitionBy(MONTH).parquet(f"{path}/staged")
+        )
+    loaded = read_fact_by_path(spark, f"{path}/staged")
+    return loaded.groupBy(MONTH).agg(
+        F.count("*").alias("claim_count"),
+        *[dollars(F.sum(F.col(c).cast(MONEY))).alias(f"total_{c.removesuffix('_amount')}") for c in MONEY_COLUMNS],
+    )
+
+
 def _source(spark: SparkSession, tables: str, report: str) -> DataFrame:
     """What a report reads: the clean claims, or the provider profile.
 
@@ -122,6 +225,13 @@ QUERIES: dict[str, Query] = {
     "readmission_flag": readmission_flag,
     "load_path_partition": load_path_partition,
     "reconcile_monthly": reconcile_monthly,
+    "audit_by_rule": audit_of_rules,
+    "clean_claims_two_phase": clean_claims_two_phase,
+    "monthly_spend_from_sets": monthly_spend_from_sets,
+    "pmpm_from_sets": monthly_pmpm_from_sets,
+    "rolling_quarter_members": rolling_quarter_members,
+    "reconcile_three_sides": reconcile_three_sides,
+    "load_mixed_files": load_mixed_files,
     **{name: partial(_report, name=name) for name in REPORTS},
     **{name: partial(_feed, name=name) for name in FEEDS},
 }

@@ -10,7 +10,7 @@ from payerlens.plans.workspace import shared_folder
 
 def test_every_query_has_a_counterpart():
     assert set(QUERIES) == set(oracle_sql())
-    assert len(QUERIES) == 23
+    assert len(QUERIES) == 30
 
 
 def test_entry(spark):
