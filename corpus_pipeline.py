@@ -32,9 +32,27 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates stays: the smallest doc_id."""
-    gone = stored(near_duplicates(docs).where("NOT kept").select("doc_id").distinct(), "near-copies")
-    return docs.select(*COLUMNS).join(gone, "doc_id", "left_anti").select(*COLUMNS)
+    """One row of each group of near-duplicates stays: the smallest doc_id, then the smallest hash of the text.
+
+    Rows get numbers of their own, by which they are compared: rows that repeat doc_id and text, and copies
+    without doc_id, are copies like any other, and two texts that share a doc_id are two documents. Rows
+    without doc_id stay only if no other of their group has one. Texts without words are near to
+    nothing; of those, rows that agree in doc_id and text are one.
+    """
+    numbered = stored(docs.select(*COLUMNS).withColumn("node", F.monotonically_increasing_id()), "numbered-documents")
+    found = near_duplicates(numbered, id_column="node").select(
+        F.col("doc_id").alias("node"), F.when(F.col("n_shingles") > 0, F.col("component_id")).alias("component")
+    )
+    # Only narrow rows move: the text counts by its hash.
+    thin = numbered.select("node", "doc_id", F.sha2(F.coalesce("text", F.lit("")), 256).alias("digest"))
+    wordless = F.concat_ws("|", F.coalesce(F.col("doc_id").cast("string"), F.lit("none")), "digest")
+    grouped = stored(
+        thin.join(found, "node").withColumn("group", F.coalesce(F.col("component").cast("string"), wordless)), "near-groups"
+    )
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "digest", "node")
+    stays = grouped.groupBy("group").agg(F.min(order)["node"].alias("node"))
+    gone = stored(grouped.select("node").join(stays, "node", "left_anti"), "near-copies")
+    return numbered.join(gone, "node", "left_anti").select(*COLUMNS)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

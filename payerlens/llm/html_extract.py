@@ -14,8 +14,9 @@ article or main element, only text in it is taken. A container that is left out
 alone stays if it holds most of the page's varying text, or the only article or main.
 
 The votes are counted by grouping over all pages. Pages with the same texts outside landmarks
-vote once, and pages without text are no reference. The reference pages are broadcast only if they are small; else pages are joined by host, where the
-adaptive skew join splits a host that holds a third of all pages.
+vote once, and pages without text are no reference. Every page is parsed once; its tree is stored for the
+votes and for the texts. The reference pages are broadcast only if they are small; else pages are joined by host,
+where the adaptive skew join splits a host that holds a third of all pages.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from payerlens.llm.dom import BLOCKS, RAW, Node, Shapes, parse
+from payerlens.llm.dom import BLOCKS, RAW, Node, Shapes, pack, parse, unpack
 from payerlens.llm.tables import pick, stored
 
 LEAST_PAGES = 10  # different pages of a host that must align with a template slot
@@ -223,14 +224,14 @@ class _Hosts:
     def __init__(self):
         self.shapes, self.trees = Shapes(), {}
 
-    def aligned(self, page: str, group: tuple[str, int], reference: str) -> tuple[Node, dict[int, int]]:
+    def aligned(self, tree: bytes, group: tuple[str, int], reference: bytes) -> tuple[Node, dict[int, int]]:
         if self.shapes.full() or len(self.trees) > 500:
             self.__init__()
         if group not in self.trees:
-            tree = parse(reference)
-            self.shapes.assign(tree)
-            self.trees[group] = tree
-        root = parse(page)
+            known = unpack(reference)
+            self.shapes.assign(known)
+            self.trees[group] = known
+        root = unpack(tree)
         self.shapes.assign(root)
         return root, self.shapes.match(root, self.trees[group])
 
@@ -250,28 +251,15 @@ def _texts(root: Node, skipped: Callable = _never) -> Iterator[Node]:
             todo.extend(reversed(node.children))
 
 
-def _shape_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _parsed_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The only place where pages are parsed: their trees, shapes and text hashes."""
     for batch in batches:
-        out = []
-        for host, page, code in zip(batch["host"], batch["html"], batch["code"], strict=True):
-            root = parse(page)
-            own = _page_hash(root)
-            out.append((host, code, shape_of(root), own or 0, own is not None))
-        yield pd.DataFrame(out, columns=["host", "code", "shape", "page", "filled"])
-
-
-def _group_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """The group of each page: that of its own shape, or of the host's most frequent shape."""
-    for batch in batches:
-        out = batch[["page_id", "url", "html", "host"]].copy()
-        chosen = []
-        for page, groups in zip(batch["html"], batch["groups"], strict=True):
-            if groups is None or len(groups) < 2:
-                chosen.append(0 if groups is None else int(groups[0]))
-            else:
-                shape, known = shape_of(parse(page)), {int(g) for g in groups}
-                chosen.append(shape if shape in known else int(groups[0]))
-        out["group"] = chosen
+        out = batch[["page_id", "url", "host", "code"]].copy()
+        roots = map(parse, batch["html"])
+        found = [(shape_of(root), _page_hash(root), pack(root)) for root in roots]
+        out["shape"] = [f[0] for f in found]
+        out["page"] = pd.array([f[1] for f in found], "Int64")
+        out["tree"] = [f[2] for f in found]
         yield out
 
 
@@ -279,11 +267,10 @@ def _vote_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     hosts = _Hosts()
     for batch in batches:
         out = []
-        for host, group, page, reference in zip(
-            batch["host"], batch["group"], batch["html"], batch["reference"], strict=True
+        for host, group, own, tree, reference in zip(
+            batch["host"], batch["group"], batch["page"], batch["tree"], batch["reference"], strict=True
         ):
-            root, slots = hosts.aligned(page, (host, group), reference)
-            own = _page_hash(root)
+            root, slots = hosts.aligned(tree, (host, group), reference)
             for node in _texts(root):
                 slot = slots.get(id(node))
                 if slot is not None and node.text != " ":
@@ -295,11 +282,11 @@ def _text_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     hosts = _Hosts()
     for batch in batches:
         texts = []
-        for host, group, page, reference, constant in zip(
-            batch["host"], batch["group"], batch["html"], batch["reference"], batch["constant"], strict=True
+        for host, group, tree, reference, constant in zip(
+            batch["host"], batch["group"], batch["tree"], batch["reference"], batch["constant"], strict=True
         ):
             fixed = _as_map(constant)
-            root, slots = hosts.aligned(page, (host, group), reference) if fixed else (parse(page), {})
+            root, slots = hosts.aligned(tree, (host, group), reference) if fixed else (unpack(tree), {})
             template = {
                 id(node)
                 for node in (_texts(root) if fixed else ())
@@ -331,15 +318,17 @@ def extract_main_text(
     slim = pick(pages, page_id=id_column, url=url_column, html=html_column)
     host = F.regexp_extract(F.lower(F.coalesce("url", F.lit(""))), r"^(?:[a-z][a-z0-9+.\-]*:)?//([^/?#]*)", 1)
     hosted = slim.select("page_id", "url", F.coalesce("html", F.lit("")).alias("html"), host.alias("host"))
-    code = F.xxhash64("html")
-    seen = stored(
-        hosted.where("host != ''").select("host", "html", code.alias("code"))
-        .mapInPandas(_shape_rows, "host string, code bigint, shape bigint, page bigint, filled boolean")
-        .distinct(),
-        "page-shapes",
+    keys = slim.schema["page_id"].dataType.simpleString()
+    parsed = stored(
+        hosted.withColumn("code", F.xxhash64("html")).mapInPandas(
+            _parsed_rows, f"page_id {keys}, url string, host string, code bigint, shape bigint, page bigint, tree binary"
+        ),
+        "parsed-pages",
     )
     # One row for a different page, whatever its copies' adverts: the copy of smallest code.
-    different = seen.where("filled").groupBy("host", "shape", "page").agg(F.min("code").alias("code"))
+    different = parsed.where("host != '' AND page IS NOT NULL").groupBy("host", "shape", "page").agg(
+        F.min("code").alias("code")
+    )
     counted = stored(
         different.groupBy("host", "shape").agg(F.count("*").alias("pages"), F.min("code").alias("code")),
         "shape-counts",
@@ -358,8 +347,8 @@ def extract_main_text(
         "page-groups",
     )
     references = stored(
-        hosted.withColumn("code", code).join(groups, ["host", "code"])
-        .groupBy("host", "group").agg(F.first("html").alias("reference"), F.first("group_pages").alias("group_pages")),
+        parsed.select("host", "code", "tree").join(groups, ["host", "code"])
+        .groupBy("host", "group").agg(F.first("tree").alias("reference"), F.first("group_pages").alias("group_pages")),
         "references",
     )
     small = references.agg(F.sum(F.octet_length("reference") + F.octet_length("host"))).first()[0] or 0
@@ -369,13 +358,14 @@ def extract_main_text(
             F.sort_array(F.collect_list(F.struct("group_pages", "group")), asc=False), lambda g: g["group"]
         ).alias("groups")
     )
-    keys = slim.schema["page_id"].dataType.simpleString()
-    grouped = hosted.join(stored(frequent, "frequent-shapes"), "host", "left").mapInPandas(
-        _group_rows, f"page_id {keys}, url string, html string, host string, `group` bigint"
-    )
+    # The group of each page: that of its own shape, or of the host's most frequent shape.
+    first = F.coalesce(F.get("groups", F.lit(0)), F.lit(0).cast("long"))
+    own = F.when(F.coalesce(F.array_contains("groups", F.col("shape")), F.lit(False)), F.col("shape")).otherwise(first)
+    grouped = parsed.join(stored(frequent, "frequent-shapes"), "host", "left").withColumn("group", own)
     votes = (
-        grouped.select("host", "group", "html").join(side, ["host", "group"])
-        .select("host", "group", "html", "reference")
+        # Pages without text vote as one. (A null would make pandas round the hashes.)
+        grouped.select("host", "group", F.coalesce("page", F.lit(0).cast("long")).alias("page"), "tree").join(side, ["host", "group"])
+        .select("host", "group", "page", "tree", "reference")
         .mapInPandas(_vote_rows, "host string, `group` bigint, slot int, value bigint, page bigint")
     )
     values = votes.distinct().groupBy("host", "group", "slot", "value").agg(F.count("*").alias("n"))
@@ -392,5 +382,5 @@ def extract_main_text(
     wrappers = stored(references.join(templates, ["host", "group"]), "wrappers")
     side = F.broadcast(wrappers) if small <= BROADCAST_BYTES else wrappers
     return grouped.join(side, ["host", "group"], "left").select(
-        "page_id", "url", "html", "host", "group", "reference", "constant"
+        "page_id", "url", "tree", "host", "group", "reference", "constant"
     ).mapInPandas(_text_rows, f"page_id {keys}, url string, text string, n_chars bigint")

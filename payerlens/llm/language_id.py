@@ -6,8 +6,9 @@ trained in numpy by stochastic gradient descent. The temperature and the thresho
 rejection are calibrated on a part of the training sample that the descent does not see.
 
 Training uses a bounded sample: about ``sample_rows`` labelled documents of any length, evenly
-over languages and at least one of each. Tasks count their n-grams, so the driver gets bounded
-counts instead of texts. Prediction reads every whole text; since
+over languages and at least one of each; if there are more languages than that (a column that
+holds something else), the ``sample_rows`` most frequent ones are learned. Tasks count
+their n-grams, so the driver gets bounded counts instead of texts. Prediction reads every whole text; since
 the mean and the linear layer commute, each n-gram bucket carries its class scores only.
 """
 
@@ -29,7 +30,6 @@ WIDTHS = (3, 4)
 BUCKETS = 1 << 16
 DIMENSION = 8
 SAMPLE_ROWS = 2000
-LEAST_EACH = 5  # rows of a language to aim at, however many languages there are
 _HASHES = 1 << 40
 UNKNOWN = "und"
 REJECT_RATE = 0.01  # share of calibration documents that may be rejected
@@ -109,8 +109,6 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def train(rows: list[tuple[np.ndarray, np.ndarray]], labels: list[str], epochs: int = 4, rate: float = 0.1, seed: int = 3) -> Model:
     """Fits embeddings and softmax on n-gram shares; every tenth text of a language calibrates instead."""
     languages = sorted(set(labels))
-    if not languages:
-        raise ValueError("no labelled text to learn from")
     places = {x: i for i, x in enumerate(languages)}
     target = np.array([places[x] for x in labels])
     order = np.random.default_rng(seed)
@@ -188,14 +186,19 @@ def _predicted(model: Model) -> Callable:
     return rows
 
 
-def fit_language_model(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
-    """A model from ``labelled(doc_id, text, lang)``: texts with letters and a language."""
+def fit_language_model(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model | None:
+    """A model from ``labelled(doc_id, text, lang)``: texts with letters and a language. None without any."""
     usable = labelled.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")).select(
         "text", "lang", F.pmod(F.xxhash64("doc_id", "text"), F.lit(_HASHES)).alias("place")
     )
     counts = usable.groupBy("lang").agg(F.count("*").alias("n"), F.min("place").alias("first"))
     counts = stored(counts, "language-counts")
-    each = max(sample_rows / max(counts.count(), 1), LEAST_EACH)
+    languages = counts.count()
+    if not languages:
+        return None
+    if languages > sample_rows:
+        counts = stored(counts.orderBy(F.desc("n"), "lang").limit(sample_rows), "learned-languages")
+    each = max(sample_rows / languages, 1.0)
     # The row of smallest hash is in whatever the rate.
     limits = counts.select(
         "lang", F.greatest("first", (F.lit(_HASHES) * F.least(F.lit(1.0), each / F.col("n"))).cast("long")).alias("most")
@@ -220,7 +223,8 @@ def identify_languages(
     Learns from rows that are not ``held_out`` (a condition on doc_id, null counts as false)
     and have text and language, however long the text and rare the language. Texts that are null or have no letter get ``und``, 0.0 and are not accepted.
     ``accepted`` is false as well where the calibrated probability is below the threshold.
-    Raises ValueError if nothing can be learned from but there are texts to label.
+    Where nothing can be learned from, every row gets ``und``, 0.0 and is not accepted. Repeated rows are
+    learned from once and labelled each. With more languages than ``sample_rows`` the rarest are not learned.
     """
     slim = pick(docs, doc_id=id_column, text=text_column, lang=language_column).withColumn(
         "held_out", F.coalesce(held_out, F.lit(False))
@@ -232,11 +236,8 @@ def identify_languages(
     lettered = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
     rows = slim.select("doc_id", "text", "held_out", lettered.alias("lettered"))
     learned = slim.where("NOT held_out AND doc_id IS NOT NULL")
-    try:
-        model = fit_language_model(learned, **sampling)
-    except ValueError:
-        if not rows.where("lettered").isEmpty():
-            raise
+    model = fit_language_model(learned, **sampling)
+    if model is None:
         return rows.select(
             "doc_id",
             "held_out",

@@ -18,19 +18,17 @@ from payerlens.llm.tables import stored
 
 WINDOW_LINES = 3
 _SECOND_SEED = 0x5EED
-_WIDE = "decimal(38,0)"
+_KEY = ["doc_id", "code", "code2"]  # of a document: ids may be missing or repeat
 
 
-def _place(doc_id: Column, code: Column, position: Column) -> Column:
-    """doc_id, then text hash, then position as one number: a total order of all windows."""
-    two = F.lit(2**31).cast("decimal(10,0)")
-    wide_id = F.coalesce(doc_id.cast("decimal(20,0)"), F.lit(str(-(2**63) - 1)).cast("decimal(20,0)"))
-    inner = (code.cast("decimal(10,0)") * two + position).cast("decimal(20,0)")
-    return (wide_id * F.lit(str(2**63)).cast("decimal(19,0)") + inner).cast(_WIDE)
+def _codes(text: Column) -> list[Column]:
+    """Two 64-bit hashes of a text; 0 for null."""
+    hashes = (F.xxhash64(text), F.xxhash64(F.lit(_SECOND_SEED), text))
+    return [F.when(text.isNull(), 0).otherwise(h).cast("long") for h in hashes]
 
 
 def _windows(docs: DataFrame) -> DataFrame:
-    """(doc_id, code, position, h1, h2): position counts lines from 0."""
+    """(doc_id, code, code2, position, h1, h2): position counts lines from 0."""
     lines = F.split("text", "\n", -1)
     hashes = F.transform(
         lines,
@@ -38,9 +36,7 @@ def _windows(docs: DataFrame) -> DataFrame:
             F.xxhash64(line).alias("x"), F.xxhash64(F.lit(_SECOND_SEED), line).alias("y")
         ),
     )
-    hashed = docs.select("doc_id", "code", hashes.alias("lines")).where(
-        F.size("lines") >= WINDOW_LINES
-    )
+    hashed = docs.select(*_KEY, hashes.alias("lines")).where(F.size("lines") >= WINDOW_LINES)
     each = F.transform(
         F.sequence(F.lit(1), F.size("lines") - WINDOW_LINES + 1),
         lambda i: F.struct(
@@ -49,14 +45,13 @@ def _windows(docs: DataFrame) -> DataFrame:
             F.xxhash64(*[F.element_at("lines", i + k)["y"] for k in range(WINDOW_LINES)]).alias("h2"),
         ),
     )
-    return hashed.select("doc_id", "code", F.inline(each))
+    return hashed.select(*_KEY, F.inline(each))
 
 
 def removed_ranges(docs: DataFrame) -> DataFrame:
-    """(doc_id, code, ranges) of the texts that lose lines; ranges are [first, last] from 0."""
-    windows = _windows(docs).withColumn(
-        "place", _place(F.col("doc_id"), F.col("code"), F.col("position"))
-    )
+    """(doc_id, code, code2, ranges) of the texts that lose lines; ranges are [first, last] from 0."""
+    # doc_id (missing ones first), then the text's hashes, then position: a total order of all windows.
+    windows = _windows(docs).withColumn("place", F.struct(F.col("doc_id").isNotNull(), *_KEY, "position"))
     repeated = stored(
         windows.groupBy("h1", "h2")
         .agg(F.count("*").alias("n"), F.min("place").alias("kept_place"))
@@ -65,19 +60,19 @@ def removed_ranges(docs: DataFrame) -> DataFrame:
     )
     later = (
         windows.join(repeated, ["h1", "h2"]).where(F.col("place") > F.col("kept_place"))
-        .select("doc_id", "code", "position").distinct()
+        .select(*_KEY, "position").distinct()
     )
-    in_order = Window.partitionBy("doc_id", "code").orderBy("position")
+    in_order = Window.partitionBy(*_KEY).orderBy("position")
     gap = F.col("position") > F.lag("position").over(in_order) + WINDOW_LINES
     return (
         later.withColumn("starts", F.when(gap, 1).otherwise(0))
         .withColumn("run", F.sum("starts").over(in_order))
-        .groupBy("doc_id", "code", "run")
+        .groupBy(*_KEY, "run")
         .agg(
             F.min("position").alias("first"),
             (F.max("position") + WINDOW_LINES - 1).alias("last"),
         )
-        .groupBy("doc_id", "code")
+        .groupBy(*_KEY)
         .agg(F.sort_array(F.collect_list(F.struct("first", "last"))).alias("ranges"))
     )
 
@@ -92,18 +87,20 @@ def dedup_lines(
     Lines are what lies between newlines. A text of fewer than three lines has no window and
     is left alone. Null stays null and has no lines; an empty text has one. A text may become
     empty. Rows that repeat doc_id and text are one document: they get the same result.
-    Documents without doc_id come first in the order, by a hash of their text.
+    Documents without doc_id come first in the order, by 128 bits of hash of their text, which also
+    tell them apart.
 
     The added columns replace input columns of the same name.
     """
-    text, added = F.col(f"`{text_column}`"), ["line_count", "removed_lines", "removed_ranges"]
-    code = F.coalesce(F.pmod(F.xxhash64(text), F.lit(2**31)), F.lit(0))
+    text, added = F.col(f"`{text_column}`").cast("string"), ["line_count", "removed_lines", "removed_ranges"]
+    code, code2 = _codes(text)
     slim = docs.select(
-        F.col(f"`{id_column}`").cast("long").alias("doc_id"), text.alias("text"), code.alias("code")
+        F.col(f"`{id_column}`").cast("long").alias("doc_id"), text.alias("text"), code.alias("code"), code2.alias("code2")
     )
     ranges = stored(removed_ranges(slim), "removed-ranges").select(
         F.col("doc_id").alias("_line_id"),
         F.col("code").alias("_line_code"),
+        F.col("code2").alias("_line_code2"),
         F.col("ranges").alias("removed_ranges"),
     )
     own = [c for c in docs.columns if c not in added]
@@ -111,11 +108,11 @@ def dedup_lines(
     base = docs.select(*[F.col(f"`{c}`").alias(f"in_{i}") for i, c in enumerate(own)])
     text = F.col(f"in_{own.index(text_column)}")
     doc_id = F.col(f"in_{own.index(id_column)}").cast("long")
-    code = F.coalesce(F.pmod(F.xxhash64(text), F.lit(2**31)), F.lit(0))
+    code, code2 = _codes(text)
     # Always a merge join: texts move once at every size, whether the ranges are few or many.
     joined = base.join(
         ranges.hint("merge"),
-        doc_id.eqNullSafe(F.col("_line_id")) & (code == F.col("_line_code")),
+        (code == F.col("_line_code")) & (code2 == F.col("_line_code2")) & doc_id.eqNullSafe(F.col("_line_id")),
         "left",
     )
     lines = F.split(text, "\n", -1)

@@ -23,7 +23,8 @@ MAX_LENGTH = 1024
 BUCKETS = 8
 TOKEN_BUDGET = 16_384
 SEED = 17
-SHARD_DIGITS = 2  # hex digits of the order key: 256 shards a bucket
+COPY_CHUNK = 10_000  # repeated rows that a task numbers at once
+SHARD_DIGITS = 3  # hex digits of the order key: 4096 shards a bucket
 
 
 def optimal_boundaries(lengths: list[int], counts: list[int], buckets: int) -> list[int]:
@@ -63,7 +64,32 @@ def optimal_boundaries(lengths: list[int], counts: list[int], buckets: int) -> l
 
 
 def _order_key(seed: int) -> Column:
-    return F.md5(F.concat_ws("|", F.lit(str(seed)), F.col("doc_id").cast("string"), F.col("piece").cast("string")))
+    return F.md5(F.concat_ws("|", F.lit(str(seed)), F.col("name"), F.col("piece").cast("string")))
+
+
+def _documents(docs: DataFrame, id_column: str, text_column: str, count: Column) -> DataFrame:
+    """(doc_id, name, n_tokens, copies): ``name`` is the id, or a hash of the text where there is none.
+
+    Rows that agree in all of these are one row with their number, counted on the map side.
+    """
+    doc_id, text = F.col(f"`{id_column}`"), F.col(f"`{text_column}`").cast("string")
+    unnamed = F.concat(F.lit("text:"), F.coalesce(F.sha2(text, 256), F.lit("null")))
+    rows = docs.select(
+        doc_id.alias("doc_id"), F.coalesce(doc_id.cast("string"), unnamed).alias("name"), count.cast("long").alias("n_tokens")
+    )
+    return rows.groupBy("doc_id", "name", "n_tokens").agg(F.count("*").alias("copies"))
+
+
+def _each_copy(pieces: DataFrame) -> DataFrame:
+    """One row for each of a piece's ``copies``, numbered from 0 in ``copy``; many copies by many tasks."""
+    zero = F.lit(0).cast("long")
+    few = pieces.where(F.col("copies") <= COPY_CHUNK).withColumn("copy", F.explode(F.sequence(zero, F.col("copies") - 1)))
+    chunks = pieces.where(F.col("copies") > COPY_CHUNK).withColumn(
+        "first", F.explode(F.sequence(zero, F.col("copies") - 1, F.lit(COPY_CHUNK).cast("long")))
+    )
+    last = F.least(F.col("first") + COPY_CHUNK, F.col("copies")) - 1
+    many = chunks.repartition("name", "piece", "first").withColumn("copy", F.explode(F.sequence("first", last))).drop("first")
+    return few.unionByName(many)
 
 
 def pack(
@@ -82,20 +108,21 @@ def pack(
     and length are its spans. ``bucket`` counts from 0, ``padded_length`` is its boundary,
     ``batch`` counts from 0 inside the bucket and holds at most
     ``token_budget // padded_length`` pieces (one at least), ``slot`` is the place in it.
-    Order inside a bucket follows an MD5 of seed, doc_id and piece.
+    Order inside a bucket follows an MD5 of seed, doc_id and piece; without doc_id, of the text.
 
     Null, empty and blank texts have no tokens: one row of length 0 without bucket and
-    batch. Repeated rows are pieces of their own; a missing doc_id is kept as null.
+    batch. Repeated rows are pieces of their own; they are counted first and take neighbouring
+    numbers. A missing doc_id is kept as null.
     """
     count = word_count(F.col(f"`{text_column}`")) if tokens is None else tokens
-    counted = docs.select(
-        F.col(f"`{id_column}`").alias("doc_id"), count.cast("long").alias("n_tokens")
-    )
+    counted = _documents(docs, id_column, text_column, count)
     last = F.greatest(F.ceil(F.col("n_tokens") / max_length) - 1, F.lit(0)).cast("long")
     pieces = counted.select(
-        "doc_id", "n_tokens", F.explode(F.sequence(F.lit(0).cast("long"), last)).alias("piece")
+        "doc_id", "name", "copies", "n_tokens", F.explode(F.sequence(F.lit(0).cast("long"), last)).alias("piece")
     ).select(
         "doc_id",
+        "name",
+        "copies",
         "piece",
         (F.col("piece") * max_length).alias("token_start"),
         F.least(
@@ -105,7 +132,7 @@ def pack(
     )
     pieces = stored(pieces, "pieces")
     filled = pieces.where("length > 0")
-    histogram = sorted(filled.groupBy("length").count().collect())
+    histogram = sorted(filled.groupBy("length").agg(F.sum("copies")).collect())
     bounds = optimal_boundaries([r[0] for r in histogram], [r[1] for r in histogram], buckets)
 
     bucket = F.lit(None).cast("int")
@@ -116,17 +143,18 @@ def pack(
     filled = filled.withColumn("bucket", bucket).withColumn("padded_length", padded)
     before = Window.partitionBy("bucket").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
-        filled.groupBy("bucket", "shard").agg(F.count("*").alias("n"))
+        filled.groupBy("bucket", "shard").agg(F.sum("copies").alias("n"))
         .select("bucket", "shard", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
     )
-    inside = Window.partitionBy("bucket", "shard").orderBy(
-        _order_key(seed), "doc_id", "piece", "length"
+    inside = (
+        Window.partitionBy("bucket", "shard").orderBy(_order_key(seed), "doc_id", "piece", "length", "name")
+        .rowsBetween(Window.unboundedPreceding, -1)
     )
-    number = F.col("offset") + F.row_number().over(inside) - 1
+    first_number = F.col("offset") + F.coalesce(F.sum("copies").over(inside), F.lit(0))
     batch_size = F.greatest(F.floor(F.lit(token_budget) / F.col("padded_length")), F.lit(1))
     packed = (
-        filled.join(offsets, ["bucket", "shard"])
-        .withColumn("number", number)
+        _each_copy(filled.join(offsets, ["bucket", "shard"]).withColumn("first_number", first_number))
+        .withColumn("number", F.col("first_number") + F.col("copy"))
         .select(
             "doc_id",
             "piece",
@@ -138,7 +166,7 @@ def pack(
             (F.col("number") % batch_size).cast("int").alias("slot"),
         )
     )
-    empty = pieces.where("length <= 0").select(
+    empty = _each_copy(pieces.where("length <= 0")).select(
         "doc_id",
         "piece",
         "token_start",

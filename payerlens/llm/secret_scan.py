@@ -33,15 +33,21 @@ _RUN = r"[A-Za-z0-9_+/=\-]{%d,}" % LEAST_LENGTH
 _BLANKS = r"[\x20\x09-\x0D]+"
 _HASHED = 64
 # --- fixed values: parts of names that hold secrets, and how a value is assigned ----------
-_NAME = (
-    r"(?i)(?:pass|pwd|secret|token|key|auth|cred|bearer|jwt|session|cookie|signature|salt|pin|licen[cs]e|"
-    r"webhook|kennwort|contrase|clave|senha)[\w\-.\[\]()]*[\"'`]*"
+_PARTS = (
+    "(?:pass|pwd|secret|token|key|auth|cred|bearer|jwt|session|cookie|signature|salt|pin|licen[cs]e|"
+    "webhook|kennwort|contrase|clave|senha)"
 )
-_SIGN = r"(?::=|=>|={1,3}|:)"
+_SIGN = r"(?>:=|=>|={1,3}+|:)"
 # ------------------------------------------------------------------------------------------
-_UNQUOTED = r"(?:(?![&;,][\w.\-\[\]\"']*[=:]).)"  # up to a further assignment
-_QUOTED = r"([\"'`])((?:(?!\1).)*)"
-_INSIDE = _NAME + _SIGN + r"(?:[\"'`][^\"'`]+[\"'`]?|[^\s\"'`]" + _UNQUOTED + "*)"
+# No group is repeated and every repetition is possessive, so Java matches neither recurse nor
+# backtrack. A name starts where no name character is before it, so each is read once.
+_NAME_CLASS = r"\p{L}\p{N}_\-.\[\]()"
+_NAME = (
+    f"(?i)(?<![{_NAME_CLASS}])(?=[{_NAME_CLASS}]*?{_PARTS})[{_NAME_CLASS}]++[\"'`]*+"
+)
+_QUOTED = _NAME + _SIGN + "[\"'`]([^\"'`]++)"
+_UNQUOTED = "(?s)" + _NAME + _SIGN + "([^\\s\"'`].*)$"
+_FURTHER = "[&;,](?=[\\w.\\-\\[\\]\"']*+[=:])"  # a separator with a further assignment behind it
 
 FEATURES = (
     "length", "digit_share", "letter_share", "capital_share", "hex_share", "kind_changes",
@@ -50,18 +56,32 @@ FEATURES = (
 )
 
 
+def _ends_in_sign(word: Column) -> Column:
+    return F.substring(word, -1, 1).isin("=", ":", ">")
+
+
 def _names_next(before2: Column, before: Column) -> Column:
     """The words before a word end in a key-like name and a sign."""
-    return before.rlike(_NAME + _SIGN + "$") | (
-        before.rlike(f"^{_SIGN}$") & before2.rlike(_NAME + "$")
+    return _ends_in_sign(before) & (
+        before.rlike(_NAME + _SIGN + "$") | (before.rlike(f"^{_SIGN}$") & before2.rlike(_NAME + "$"))
     )
 
 
+def _assigns(word: Column) -> Column:
+    """A word may hold an assignment to a key-like name; a cheap look first."""
+    return (word.contains("=") | word.contains(":")) & word.rlike(_NAME + _SIGN)
+
+
 def _bare(value: Column) -> Column:
     """A value without its quotes, or without a separator after it."""
-    return F.when(value.rlike("^[\"'`]"), F.regexp_extract(value, "^" + _QUOTED, 2)).otherwise(
-        F.regexp_replace(value, "[,;]+$", "")
-    )
+    quote = F.substring(value, 1, 1)
+    inside = F.split_part(F.substring(value, 2, 1 << 30), quote, F.lit(1))
+    return F.when(quote.isin("\"", "'", "`"), inside).otherwise(F.rtrim(value, F.lit(",;")))
+
+
+def _trimmed(value: Column) -> Column:
+    """A value without quotes, brackets and marks around it."""
+    return F.rtrim(F.ltrim(value, F.lit("\"'`([{<")), F.lit("\"'`)]}>.,;:"))
 
 
 def candidates(
@@ -73,7 +93,7 @@ def candidates(
     the candidates inside one word: its runs, then the values of key-like names that are no run.
     """
     text = F.col(f"`{text_column}`")
-    named = text.rlike(_NAME + r"\s*" + _SIGN)
+    named = text.rlike(_NAME + r"\s*+" + _SIGN)
     suspicious = docs.where((text.rlike("[0-9]") & text.rlike(_RUN)) | named).select(
         F.col(f"`{id_column}`").alias("doc_id"),
         F.coalesce(F.col(f"`{path_column}`"), F.lit("")).alias("path"),
@@ -83,42 +103,41 @@ def candidates(
     placed = F.filter(
         F.transform("words", lambda w, i: F.struct(i.alias("i"), w.alias("w"))),
         lambda x: ((F.length(x["w"]) >= LEAST_LENGTH) & x["w"].rlike("[0-9]"))
-        | x["w"].rlike(_INSIDE)
+        | _assigns(x["w"])
         | _names_next(near(x["i"] - 2), near(x["i"] - 1)),
     )
     runs = F.filter(
         F.regexp_extract_all("word", F.lit(_RUN), F.lit(0)), lambda r: r.rlike("[0-9]")
     )
-    values = F.transform(
-        F.regexp_extract_all("word", F.lit(_INSIDE), F.lit(0)),
-        lambda v: _bare(F.regexp_replace(v, "^" + _NAME + _SIGN, "")),
-    )
+    unquoted = F.transform(F.split("word", _FURTHER), lambda p: F.rtrim(F.regexp_extract(p, _UNQUOTED, 1), F.lit(",;")))
+    values = F.when(
+        _assigns(F.col("word")),
+        F.concat(F.regexp_extract_all("word", F.lit(_QUOTED), F.lit(1)), F.filter(unquoted, lambda v: v != "")),
+    ).otherwise(F.array().cast("array<string>"))
     following = F.when(
         _names_next(F.col("before2"), F.col("before")) & ~F.col("word").rlike(f"^{_SIGN}$"),
         F.array(_bare(F.col("word"))),
     ).otherwise(F.array().cast("array<string>"))
-    trimmed = lambda v: F.regexp_replace(v, r"^[\"'`(\[{<]+|[\"'`)\]}>.,;:]+$", "")
     whole = F.filter(
-        F.concat("values", following), lambda v: (v != "") & ~F.array_contains("runs", trimmed(v))
+        F.concat("values", following), lambda v: (v != "") & ~F.array_contains("runs", _trimmed(v))
     )
     parts = F.concat(
         F.transform("runs", lambda r: F.struct(r.alias("finding"), F.array_contains("named", r).alias("keyed"))),
         F.transform(F.array_distinct("whole"), lambda v: F.struct(v.alias("finding"), F.lit(True).alias("keyed"))),
     )
+    # Neighbours go along before hits become rows: no row carries all words of its text.
+    hits = F.transform(
+        placed,
+        lambda x: F.struct(
+            x["i"].alias("word_position"), near(x["i"] - 2).alias("before2"), near(x["i"] - 1).alias("before"),
+            x["w"].alias("word"), near(x["i"] + 1).alias("after"),
+        ),
+    )
     return (
-        suspicious.withColumn("hit", F.explode(placed))
-        .select(
-            "doc_id",
-            "path",
-            F.col("hit.i").alias("word_position"),
-            near(F.col("hit.i") - 2).alias("before2"),
-            near(F.col("hit.i") - 1).alias("before"),
-            F.col("hit.w").alias("word"),
-            near(F.col("hit.i") + 1).alias("after"),
-        )
+        suspicious.select("doc_id", "path", F.inline(hits))
         .withColumn("runs", runs)
         .withColumn("values", values)
-        .withColumn("named", F.transform(F.concat("values", following), trimmed))
+        .withColumn("named", F.transform(F.concat("values", following), _trimmed))
         .withColumn("whole", whole)
         .select("*", F.posexplode(parts).alias("part", "found"))
         .select(
@@ -184,7 +203,7 @@ def assigned_and_quoted() -> Column:
     Null (no label) for the value of a key-like name that is not quoted.
     """
     word, finding = F.col("word"), F.col("finding")
-    quoted = word.rlike("[\"'][A-Za-z0-9_+/=\\-]{%d,}[\"']" % LEAST_LENGTH) | (
+    quoted = word.rlike("[\"'][A-Za-z0-9_+/=\\-]{%d,}+[\"']" % LEAST_LENGTH) | (
         F.col("keyed") & F.exists(
             F.array(*[F.lit(q) for q in "\"'`"]),
             lambda q: word.contains(F.concat(q, finding, q)) | word.endswith(F.concat(q, finding)),

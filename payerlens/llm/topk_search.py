@@ -16,7 +16,6 @@ that fills many buckets is cut by row number like any other.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable
 
 import numpy as np
@@ -29,29 +28,30 @@ from payerlens.llm.tables import pick, stored
 BUCKET_ROWS = 512
 QUERY_ROWS = 512
 SCALE = 256
-# Components beyond this size are refused, so that products and their sums stay exact.
-LARGEST = 1 << 24
+SLICES = 4096  # of a length class, by the id's hash
+EXACT = 1 << 53  # up to here doubles hold every integer
+_LEAST, _MOST = -(1 << 63), (1 << 63) - 1
 FOCUS = 4  # coordinates tested by coordinate pruning
 COORDINATE_FROM = 0.35  # local cosine threshold from which coordinates prune better
 _SLACK = 1e-9
 
 
 def usable_vectors(rows: DataFrame, id_column: str, vector_column: str) -> DataFrame:
-    """(vec_id, v array<bigint>, norm): distinct rows that take part.
+    """(vec_id, v array<double>, norm): distinct rows that take part, components as whole numbers.
 
-    Left out: null ids and vectors, empty vectors, null or non-finite components, and
-    components above ``LARGEST`` in size.
+    Left out: null ids and vectors, empty vectors, and null or non-finite components (a
+    component counts as non-finite if 256 times it is beyond the largest double).
     """
     vectors = pick(rows, vec_id=id_column, embedding=vector_column)
+    scaled = lambda c: F.lit(SCALE).cast("double") * c.cast("double")
+    # From 2^53 on a double is whole by itself; + 0.0 makes a negative zero positive.
+    floored = lambda y: F.when(F.abs(y) < EXACT, F.floor(y).cast("double")).otherwise(y) + F.lit(0.0)
     x = F.col("embedding")
-    whole = F.transform(x, lambda c: F.floor(F.lit(SCALE).cast("double") * c.cast("double")))
-    fine = F.forall(
-        x, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c.cast("double")) * SCALE < LARGEST)
-    )
+    fine = F.forall(x, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(scaled(c)) < F.lit(float("inf"))))
     usable = F.when(F.col("vec_id").isNotNull() & (F.size(x) > 0) & fine, True)
-    norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, c: s + (c * c).cast("double")))
+    norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, c: s + c * c))
     return (
-        vectors.where(usable).select(F.col("vec_id").cast("long").alias("vec_id"), whole.alias("v"))
+        vectors.where(usable).select(F.col("vec_id").cast("long").alias("vec_id"), F.transform(x, lambda c: floored(scaled(c))).alias("v"))
         .distinct()
         .withColumn("norm", norm)
     )
@@ -65,7 +65,7 @@ def _numbered(rows: DataFrame, size: int) -> DataFrame:
     """
     rows = rows.withColumn("width", F.size("v")).withColumn(
         "length_class", -F.ceil(F.log1p("norm") * 32).cast("long")
-    ).withColumn("slice", F.pmod(F.xxhash64("vec_id"), F.lit(256)))
+    ).withColumn("slice", F.pmod(F.xxhash64("vec_id"), F.lit(SLICES)))
     keys = ["width", "length_class", "slice"]
     before = Window.partitionBy("width").orderBy("length_class", "slice").rowsBetween(
         Window.unboundedPreceding, -1
@@ -82,71 +82,107 @@ def _numbered(rows: DataFrame, size: int) -> DataFrame:
     )
 
 
-def _ranges(unit: np.ndarray, least: float, focus: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Bounds of a unit vector's coordinates if its cosine with ``unit`` is at least ``least``."""
-    q = unit[focus]
-    spread = math.sqrt(max(0.0, 1 - least * least)) * np.sqrt(np.maximum(0.0, 1 - q * q))
+def coordinate_ranges(units: np.ndarray, least: np.ndarray, focus: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Bounds of a unit vector's coordinate ``focus[i]`` if its cosine with ``units[i]`` is at least ``least[i]``."""
+    q = np.take_along_axis(units, focus[:, None], 1)[:, 0]
+    spread = np.sqrt(np.maximum(0.0, 1 - least * least)) * np.sqrt(np.maximum(0.0, 1 - q * q))
     low, high = q * least - spread, q * least + spread
     # An interior optimum: the coordinate may be as large as the whole vector.
     return np.where(q <= -least, -1.0, low) - _SLACK, np.where(q >= least, 1.0, high) + _SLACK
 
 
+def exact_products(queries: np.ndarray, candidates: np.ndarray) -> np.ndarray:
+    """Integer inner products of all pairs, as int64; beyond 64 bits the largest or smallest value.
+
+    Doubles multiply as long as no partial sum can leave 2^53, 64-bit integers up to 2^63,
+    Python's own integers beyond.
+    """
+    largest = [float(np.abs(m).max(initial=0.0)) for m in (queries, candidates)]
+    most = largest[0] * largest[1] * queries.shape[1]
+    if most < EXACT:
+        return (queries @ candidates.T).astype(np.int64)
+    if most < 2.0**62 and max(largest) < 2.0**62:
+        return queries.astype(np.int64) @ candidates.astype(np.int64).T
+    whole = np.frompyfunc(int, 1, 1)
+    products = np.dot(whole(queries), whole(candidates).T)
+    return np.frompyfunc(lambda x: min(max(x, _LEAST), _MOST), 1, 1)(products).astype(np.int64)
+
+
 class Bucket:
     """Candidates of similar length, in order of length."""
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray):
-        norms = np.sqrt((vectors.astype(np.float64) ** 2).sum(1))
+        norms = np.sqrt((vectors**2).sum(1))
         order = np.lexsort((ids, -norms))
         self.ids, self.vectors, self.norms = ids[order], vectors[order], norms[order]
         self.units = self.vectors / np.maximum(self.norms, 1e-300)[:, None]
 
-    def search(self, own: int, query: np.ndarray, k: int, bound: float) -> list[tuple[int, int]]:
-        """Up to k (score, vec_id) that reach ``bound``, best first; ``bound`` may be -inf."""
-        size = float(np.sqrt((query.astype(np.float64) ** 2).sum()))
-        reach = size * self.norms
-        if math.isinf(bound) or bound <= 0 or size == 0:
-            # No pruning: scores at or below 0 don't bound cosines from below.
-            rows = np.arange(len(self.ids))
-        else:
-            alive = int(np.searchsorted(-reach, -bound * (1 - _SLACK), "right"))
-            rows = np.arange(alive)
-            least = bound * (1 - _SLACK) / reach[0] if alive else 2.0
-            if alive and COORDINATE_FROM <= least <= 1:
-                unit = query / size
-                focus = np.argsort(-np.abs(unit), kind="stable")[:FOCUS]
-                low, high = _ranges(unit, least, focus)
-                for f, lo, hi in zip(focus, low, high, strict=True):
-                    column = self.units[rows, f]
-                    rows = rows[(column >= lo) & (column <= hi)]
-        rows = rows[self.ids[rows] != own]
+    def possible(self, queries: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+        """Which (query, candidate) can reach the query's bound, by length and coordinates.
+
+        A bound at or below 0 bounds no cosine: nothing is pruned then, nor where lengths
+        are beyond a double.
+        """
+        sizes = np.sqrt((queries**2).sum(1))
+        open_ = ~(bounds > 0) | (sizes == 0) | ~np.isfinite(sizes) | ~np.isfinite(self.norms).all()
+        reach = np.where(open_, 1.0, sizes)[:, None] * self.norms
+        out = open_[:, None] | (reach >= bounds[:, None] * (1 - _SLACK))
+        with np.errstate(divide="ignore", invalid="ignore"):
+            least = np.where(open_, 2.0, bounds * (1 - _SLACK) / reach[:, 0])
+        tested = np.flatnonzero((least >= COORDINATE_FROM) & (least <= 1))
+        if len(tested):
+            units = queries[tested] / sizes[tested, None]
+            order = np.argsort(-np.abs(units), axis=1, kind="stable")[:, :FOCUS]
+            for focus in order.T:
+                low, high = coordinate_ranges(units, least[tested], focus)
+                column = self.units[:, focus].T
+                out[tested] &= (column >= low[:, None]) & (column <= high[:, None])
+        return out
+
+    def search(self, own: np.ndarray, queries: np.ndarray, k: int, bounds: np.ndarray) -> list[tuple[int, int, int]]:
+        """(query row, vec_id, score) of up to k candidates of each query that reach its bound."""
+        possible = self.possible(queries, bounds)
+        possible &= self.ids[None, :] != own[:, None]
+        columns = np.flatnonzero(possible.any(0))
+        rows = np.flatnonzero(possible.any(1))
         if not len(rows):
             return []
-        scores = self.vectors[rows] @ query
-        best = np.lexsort((self.ids[rows], -scores))[:k]
-        found = zip(scores[best].tolist(), self.ids[rows[best]].tolist(), strict=True)
-        return [x for x in found if x[0] >= bound]
+        scores = exact_products(queries[rows], self.vectors[columns])
+        # A bound that is no exact double may be rounded up.
+        least = np.where(np.abs(bounds) < EXACT, bounds, bounds - np.abs(bounds) * 1e-12)[rows]
+        found, at = np.nonzero(possible[np.ix_(rows, columns)] & (scores >= least[:, None]))
+        ids, best = self.ids[columns][at], scores[found, at]
+        order = np.lexsort((ids, ~best, found))
+        found, ids, best = found[order], ids[order], best[order]
+        place = np.arange(len(found)) - np.searchsorted(found, found)
+        taken = place < k
+        return list(zip(rows[found[taken]].tolist(), ids[taken].tolist(), best[taken].tolist(), strict=True))
 
 
 def _tile_search(k: int) -> Callable:
     def search(queries: pd.DataFrame, candidates: pd.DataFrame) -> pd.DataFrame:
-        out = []
+        found, own, vectors = [], np.zeros(0, np.int64), np.zeros((0, 1))
         if len(queries) and len(candidates):
             bucket = Bucket(
-                candidates["vec_id"].to_numpy(np.int64),
-                np.array(candidates["v"].tolist(), np.int64),
+                candidates["vec_id"].to_numpy(np.int64), np.stack(candidates["v"].to_numpy()).astype(np.float64)
             )
+            vectors = np.stack(queries["v"].to_numpy()).astype(np.float64)
             bounds = queries["bound"].to_numpy(np.float64)
-            for own, v, bound in zip(queries["vec_id"], queries["v"], bounds, strict=True):
-                least = -math.inf if math.isnan(bound) else bound
-                found = bucket.search(int(own), np.asarray(v, np.int64), k, least)
-                # The query itself goes along: an id may stand for several vectors.
-                out += [(own, v, vec_id, score) for score, vec_id in found]
-        return pd.DataFrame(out, columns=["query_id", "qv", "vec_id", "score"])
+            own = queries["vec_id"].to_numpy(np.int64)
+            found = bucket.search(own, vectors, k, np.where(np.isnan(bounds), -np.inf, bounds))
+        rows = np.array([r for r, _, _ in found], np.int64)
+        return pd.DataFrame({
+            "query_id": own[rows],
+            # The query itself goes along: an id may stand for several vectors.
+            "qv": pd.Series([vectors[r] for r in rows], dtype=object),
+            "vec_id": np.array([i for _, i, _ in found], np.int64),
+            "score": np.array([s for _, _, s in found], np.int64),
+        })
 
     return search
 
 
-_FOUND = "query_id bigint, qv array<bigint>, vec_id bigint, score bigint"
+_FOUND = "query_id bigint, qv array<double>, vec_id bigint, score bigint"
 
 
 def _top(found: DataFrame, k: int) -> DataFrame:
@@ -174,7 +210,8 @@ def top_products(
 ) -> DataFrame:
     """query_id, rank, vec_id, score: the k largest integer products of every query.
 
-    Components become floor(256 x). Candidates are all other ids with vectors of as many
+    Components become floor(256 x), of any finite size; a score beyond 64 bits counts as the largest
+    or smallest long. Candidates are all other ids with vectors of as many
     components; fewer than k give fewer rows. Ties go to the smaller vec_id. ``is_query`` is
     a condition on ``vec_id``. Rows that repeat id and vector count once; an id with several
     vectors is as many queries, none of which finds that id.

@@ -61,4 +61,4 @@ def test_queries_equal_sql(spark):
     oracle = open_oracle(TABLES)
     for name, sql in LLM_SQL.items():
         assert compare(LLM_QUERIES[name](spark, TABLES), oracle.sql(sql)) is None, name
-    assert set(LLM_SQL) < set(LLM_QUERIES) and len(LLM_QUERIES) == 11
+    assert set(LLM_SQL) < set(LLM_QUERIES) and len(LLM_QUERIES) == 14

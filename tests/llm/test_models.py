@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from payerlens.llm.dom import Shapes, parse
 from payerlens.llm.html_extract import extract_main_text, main_text
-from payerlens.llm.language_id import identify_languages
+from payerlens.llm import language_id
+from payerlens.llm.language_id import identify_languages, train
 from payerlens.llm.quality import LABELLERS, classify_quality, fit_accuracies, vote_patterns
 from payerlens.llm.secret_scan import dictionary, scan_secrets
 from payerlens.llm.tables import read_table
@@ -67,9 +68,27 @@ def test_language_edges(spark, edges, nothing, documents):
     assert unknown == {1, 2, 3, 11, None}
     assert found.where("lang_pred = 'und' AND (score != 0 OR accepted)").count() == 0
     assert identify_languages(nothing, never).count() == 0
-    unlabelled = documents((1, "text", None, "s"))
-    with pytest.raises(ValueError):
-        identify_languages(unlabelled, never)
+    unlabelled = documents((1, "text", None, "s"), (2, None, None, "s"))
+    assert [tuple(r)[1:] for r in identify_languages(unlabelled, never).collect()] == [(False, "und", 0.0, False)] * 2
+
+
+def test_language_column_with_very_many_values(spark, monkeypatch):
+    """100,000 values: what reaches the driver is bounded, frequent languages are learned all the same."""
+    learned = []
+
+    def counting(rows, labels, **options):
+        learned.append(labels)
+        return train(rows, labels, **options)
+
+    monkeypatch.setattr(language_id, "train", counting)
+    many = spark.range(100_000).selectExpr(
+        "id AS doc_id", "concat('abc def ', id % 7, ' text') AS text", "concat('dirt', id) AS lang")
+    real = spark.range(200_000, 200_400).selectExpr(
+        "id AS doc_id", "IF(id % 2 = 0, 'the quick brown fox and the dog', 'der schnelle braune fuchs und der hund') AS text",
+        "IF(id % 2 = 0, 'en', 'de') AS lang").withColumn("text", F.concat("text", F.lit(" "), F.col("doc_id").cast("string")))
+    found = identify_languages(many.unionByName(real), F.lit(False), sample_rows=60)
+    assert found.count() == 100_400
+    assert len(learned[0]) <= 120 and {"en", "de"} <= set(learned[0]) and len(set(learned[0])) == 60
 
 
 def test_simple_tree_matching():
@@ -93,7 +112,7 @@ def test_simple_tree_matching():
         one, two = parse(tree(3)), parse(tree(3))
         shapes.assign(one)
         shapes.assign(two)
-        assert shapes._weight(one, two, 0) == matching(one, two)
+        assert shapes._weight(one, two) == matching(one, two)
 
 
 def test_main_text_of_layouts():
