@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from payerlens.llm.samples import LETTERS, ngram_buckets, packed_counts, rows_in_blocks, unpacked_counts
+from payerlens.llm.samples import LETTERS, MOST_COUNTED, ngram_buckets, packed_counts, rows_in_blocks, unpacked_counts
 from payerlens.llm.tables import pick, stored
 from payerlens.llm.textbytes import SEGMENT_BYTES, column_bytes, row_sums, small_batches
 
@@ -92,18 +92,22 @@ def _mean_rows(scores: np.ndarray, raw: np.ndarray, offsets: np.ndarray) -> np.n
     return total / np.maximum(used, 1)[:, None]
 
 
-def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _counted(most_ngrams: int) -> Callable:
     """Language and n-gram counts of each text."""
-    for batch in small_batches(batches):
-        raw, offsets = column_bytes(batch.column("text"))
-        rows = []
-        for start, end in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True):
-            part = LETTERS[raw[start:end]]
-            own = np.array([0, len(part)])
-            grams = np.concatenate([_grams(part, own, w) for w in WIDTHS]) if len(part) else np.zeros(0, np.int64)
-            rows.append(packed_counts(grams, BUCKETS))
-        columns = [pa.array([r[i] for r in rows], pa.binary()) for i in (0, 1)]
-        yield pa.RecordBatch.from_arrays([batch.column("lang"), *columns], ["lang", "ids", "share"])
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in small_batches(batches):
+            raw, offsets = column_bytes(batch.column("text"))
+            rows = []
+            for start, end in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True):
+                part = LETTERS[raw[start:end]]
+                own = np.array([0, len(part)])
+                grams = np.concatenate([_grams(part, own, w) for w in WIDTHS]) if len(part) else np.zeros(0, np.int64)
+                rows.append(packed_counts(grams, BUCKETS, most_ngrams))
+            columns = [pa.array([r[i] for r in rows], pa.binary()) for i in (0, 1)]
+            yield pa.RecordBatch.from_arrays([batch.column("lang"), *columns], ["lang", "ids", "share"])
+
+    return counted
 
 
 def train(rows: list[tuple[np.ndarray, np.ndarray]], labels: list[str], epochs: int = 4, rate: float = 0.1, seed: int = 3) -> Model:
@@ -186,7 +190,9 @@ def _predicted(model: Model) -> Callable:
     return rows
 
 
-def fit_language_model(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model | None:
+def fit_language_model(
+    labelled: DataFrame, sample_rows: int = SAMPLE_ROWS, most_ngrams: int = MOST_COUNTED
+) -> Model | None:
     """A model from ``labelled(doc_id, text, lang)``: texts with letters and a language. None without any."""
     usable = labelled.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")).select(
         "text", "lang", F.pmod(F.xxhash64("doc_id", "text"), F.lit(_HASHES)).alias("place")
@@ -204,7 +210,7 @@ def fit_language_model(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS) -> M
         "lang", F.greatest("first", (F.lit(_HASHES) * F.least(F.lit(1.0), each / F.col("n"))).cast("long")).alias("most")
     )
     sample = usable.join(limits, "lang").where("place <= most").dropDuplicates(["lang", "place"])
-    table = sample.select("lang", "text").mapInArrow(_counted, "lang string, ids binary, share binary").toArrow()
+    table = sample.select("lang", "text").mapInArrow(_counted(most_ngrams), "lang string, ids binary, share binary").toArrow()
     found = sorted(zip(*[table.column(c).to_pylist() for c in ("lang", "ids", "share")], strict=True))
     order = np.random.default_rng(1).permutation(len(found))
     return train([unpacked_counts(*found[i][1:]) for i in order], [found[i][0] for i in order])

@@ -21,12 +21,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from payerlens.llm.samples import bounded_sample, ngram_buckets, packed_counts, rows_in_blocks, unpacked_counts
+from payerlens.llm.samples import MOST_COUNTED, bounded_sample, ngram_buckets, packed_counts, rows_in_blocks, unpacked_counts
 from payerlens.llm.tables import pick
 from payerlens.llm.textbytes import SEGMENT_BYTES, class_counts, column_bytes, row_sums, small_batches, words
 
 BUCKETS = 1 << 16
 SAMPLE_ROWS = 3000
+SAMPLE_TASKS = 8
 THRESHOLD = 0.5
 GOOD, BAD, ABSTAIN = 1, 0, 2
 
@@ -177,21 +178,25 @@ class Scorer(NamedTuple):
         return 1 / (1 + np.exp(-np.clip(logit, -60, 60)))
 
 
-def _sample_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _sample_rows(most_ngrams: int) -> Callable:
     """Vote pattern, statistic buckets and n-gram counts of each text."""
-    for batch in small_batches(batches):
-        text = batch.column("text")
-        statistics = text_statistics(text)
-        steps = [row.astype(np.int64).tobytes() for row in statistic_buckets(statistics)]
-        rows = [
-            packed_counts(grams[a:b], BUCKETS)
-            for _, _, grams, own in features(text, statistics)
-            for a, b in zip(own[:-1], own[1:], strict=True)
-        ]
-        columns = [pa.array(steps, pa.binary()), *[pa.array([r[i] for r in rows], pa.binary()) for i in (0, 1)]]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(vote_patterns(statistics)), *columns], ["pattern", "steps", "ids", "share"]
-        )
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in small_batches(batches):
+            text = batch.column("text")
+            statistics = text_statistics(text)
+            steps = [row.astype(np.int64).tobytes() for row in statistic_buckets(statistics)]
+            counts = [
+                packed_counts(grams[a:b], BUCKETS, most_ngrams)
+                for _, _, grams, own in features(text, statistics)
+                for a, b in zip(own[:-1], own[1:], strict=True)
+            ]
+            columns = [pa.array(steps, pa.binary()), *[pa.array([r[i] for r in counts], pa.binary()) for i in (0, 1)]]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(vote_patterns(statistics)), *columns], ["pattern", "steps", "ids", "share"]
+            )
+
+    return rows
 
 
 def train_scorer(
@@ -248,12 +253,15 @@ def classify_quality(
     sample_rows: int = SAMPLE_ROWS,
     threshold: float = THRESHOLD,
     keep: list[str] | None = None,
+    most_ngrams: int = MOST_COUNTED,
 ) -> DataFrame:
     """doc_id, weak_posterior, quality_score, kept for every row; or, with ``keep``, these
     three beside the input columns named there.
 
     Null counts as empty. An empty text has no bad sign but no letters either: it is
-    scored like any other. Without any document the result is empty.
+    scored like any other. Rows that repeat doc_id and text are drawn into the sample once and
+    scored alike. The sample holds the ``most_ngrams`` most frequent n-grams of a text. Without
+    any document the result is empty.
     """
     carried = {f"in_{i}": name for i, name in enumerate(keep or [])}
     slim = pick(docs, **({"doc_id": id_column, "text": text_column} | carried))
@@ -269,8 +277,9 @@ def classify_quality(
     # Rows that repeat or lack an id are drawn by their text as well.
     keyed = slim.select("text", F.xxhash64("doc_id", "text").alias("key"))
     sample = (
-        bounded_sample(keyed, "key", sample_rows, int(counts.sum())).select("text")
-        .mapInArrow(_sample_rows, "pattern bigint, steps binary, ids binary, share binary").toArrow()
+        bounded_sample(keyed, ["key"], sample_rows, int(counts.sum())).select("key", "text")
+        .repartition(SAMPLE_TASKS, "key").sortWithinPartitions("key").select("text")
+        .mapInArrow(_sample_rows(most_ngrams), "pattern bigint, steps binary, ids binary, share binary").toArrow()
     )
     drawn = {name: sample.column(name).to_pylist() for name in sample.column_names}
     rows = [unpacked_counts(*r) for r in zip(drawn["ids"], drawn["share"], strict=True)]

@@ -44,22 +44,25 @@ def rows_in_blocks(offsets: np.ndarray, most_bytes: int):
         row = min(end, n)
 
 
-def bounded_sample(rows: DataFrame, key: str, size: int, total: int) -> DataFrame:
-    """About ``size`` of ``total`` rows, chosen by the hash of ``key``; never over twice as many."""
+def bounded_sample(rows: DataFrame, keys: list[str], size: int, total: int) -> DataFrame:
+    """About ``size`` of ``total`` rows, chosen by the hash of ``keys``; rows that repeat a key count once.
+
+    So the sample is the same however the rows are partitioned, and no key overfills it.
+    """
     rate = min(1.0, size / max(total, 1))
-    return rows.where(hash_share(F.col(key), rate)).limit(2 * size)
+    return rows.where(hash_share(F.struct(*keys), rate)).dropDuplicates(keys)
 
 
 MOST_COUNTED = 8192  # n-gram buckets of one sampled text, the most frequent: bounds what the driver gets
 
 
-def packed_counts(grams: np.ndarray, buckets: int) -> tuple[bytes, bytes]:
+def packed_counts(grams: np.ndarray, buckets: int, most: int = MOST_COUNTED) -> tuple[bytes, bytes]:
     """Buckets (uint16) and shares (float32) of one text's n-grams; ``buckets`` itself is left out."""
     ids, n = np.unique(grams[grams < buckets], return_counts=True)
     share = n / max(n.sum(), 1)
-    if len(ids) > MOST_COUNTED:
-        most = np.sort(np.argsort(-n, kind="stable")[:MOST_COUNTED])
-        ids, share = ids[most], share[most]
+    if len(ids) > most:
+        kept = np.sort(np.argsort(-n, kind="stable")[:most])
+        ids, share = ids[kept], share[kept]
     return ids.astype(np.uint16).tobytes(), share.astype(np.float32).tobytes()
 
 

@@ -22,7 +22,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from payerlens.llm.tables import hash_share, stored
+from payerlens.llm.samples import bounded_sample
+from payerlens.llm.tables import stored
 
 LEAST_LENGTH = 16
 SAMPLE_ROWS = 20_000
@@ -214,13 +215,11 @@ def assigned_and_quoted() -> Column:
 
 
 def _training_rows(labelled: DataFrame, size: int) -> DataFrame:
-    """About ``size`` rows of each label, never over twice as many."""
+    """About ``size`` rows of each label; candidates that repeat place and string count once."""
     counts = {r["label"]: r["count"] for r in labelled.groupBy("label").count().collect()}
-    key = F.struct("doc_id", "word_position", "part", "finding")
+    keys = ["doc_id", "word_position", "part", "finding"]
     drawn = [
-        labelled.where(F.col("label") == label)
-        .where(hash_share(key, min(1.0, size / max(counts.get(label, 0), 1)))).limit(2 * size)
-        for label in (0.0, 1.0)
+        bounded_sample(labelled.where(F.col("label") == label), keys, size, counts.get(label, 0)) for label in (0.0, 1.0)
     ]
     return drawn[0].unionByName(drawn[1]).select(*FEATURES, "label")
 

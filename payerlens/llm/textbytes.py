@@ -135,10 +135,16 @@ def words(raw: np.ndarray, offsets: np.ndarray, lower: bool = True):
 
 
 def row_sums(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """Sum of ``values`` over each row's range; 0 for an empty range."""
-    total = np.zeros(len(values) + 1, np.float64)
-    np.cumsum(values, out=total[1:])
-    return total[offsets[1:]] - total[offsets[:-1]]
+    """Sum of ``values`` over each row's range; 0 for an empty range.
+
+    Each row is summed by itself, so its sum does not depend on the rows beside it.
+    """
+    out = np.zeros(len(offsets) - 1, np.float64)
+    full = np.flatnonzero(offsets[1:] > offsets[:-1])
+    if len(full):
+        used = np.asarray(values[: offsets[-1]], np.float64)
+        out[full] = np.add.reduceat(used, offsets[full])
+    return out
 
 
 def class_counts(raw: np.ndarray, offsets: np.ndarray, classes: list[np.ndarray]) -> np.ndarray:
