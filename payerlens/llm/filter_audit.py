@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from payerlens.llm.samples import rows_in_blocks
 from payerlens.llm.tables import pick, stored
 from payerlens.llm.textbytes import IS_SPACE, class_counts, column_bytes, small_batches, words
 
@@ -40,6 +41,7 @@ _CLASSES = [
     (_CODES >= 0x80) & (_CODES < 0xC0),  # all but the first byte of a code point
 ]
 _ALL = len(FILTERS)
+_COMPARED = 1 << 20  # bytes of words that are compared at once
 
 
 class Shard(NamedTuple):
@@ -89,24 +91,45 @@ class Coder(NamedTuple):
         return Shard(np.searchsorted(row_of, np.arange(len(offsets))), used[cell - row_of * max(len(used), 1)], counts)
 
 
-def _texts(raw: np.ndarray, offsets: np.ndarray, sizes: np.ndarray, at: np.ndarray) -> list[bytes]:
-    """The bytes of the words numbered ``at``."""
+def _starts(raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Where each word begins, in the order of ``words``."""
     begins = ~IS_SPACE[raw]
     inside = begins.copy()
     begins[1:] &= ~inside[:-1]
     first = offsets[:-1][offsets[:-1] < offsets[1:]]
     begins[first] = inside[first]
-    starts, data = np.flatnonzero(begins)[at], raw.tobytes()
+    return np.flatnonzero(begins)
+
+
+def _texts(raw: np.ndarray, offsets: np.ndarray, sizes: np.ndarray, at: np.ndarray) -> list[bytes]:
+    """The bytes of the words numbered ``at``."""
+    starts, data = _starts(raw, offsets)[at], raw.tobytes()
     return [data[s : s + n] for s, n in zip(starts.tolist(), sizes[at].tolist(), strict=True)]
 
 
+def _differing(raw: np.ndarray, starts: np.ndarray, sizes: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Numbers of the words that are not, byte for byte, the word numbered in ``first``."""
+    same_size = np.flatnonzero(sizes == sizes[first])
+    out = [np.flatnonzero(sizes != sizes[first])]
+    upto = np.concatenate([[0], np.cumsum(sizes[same_size])])
+    for start, end in rows_in_blocks(upto, _COMPARED):  # what is allocated follows the step, not the text
+        part = same_size[start:end]
+        length, ends = sizes[part], upto[start + 1 : end + 1] - upto[start]
+        inside = np.arange(ends[-1]) - np.repeat(ends - length, length)
+        unequal = raw[np.repeat(starts[part], length) + inside] != raw[np.repeat(starts[first[part]], length) + inside]
+        out.append(part[np.unique(np.searchsorted(ends, np.flatnonzero(unequal), "right"))])
+    return np.concatenate(out)
+
+
 def _distinct_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One word of each hash of a block, and all words that differ from that one."""
     for batch in small_batches(batches):
         raw, offsets = column_bytes(batch.column("text"))
         hashes, sizes, _ = words(raw, offsets, lower=False)
-        codes, at = np.unique(hashes, return_index=True)
+        _, at, place = np.unique(hashes, return_index=True, return_inverse=True)
+        at = np.concatenate([at, _differing(raw, _starts(raw, offsets), sizes, at[place])]) if len(at) else at
         texts = pa.array(_texts(raw, offsets, sizes, at), pa.binary())
-        yield pa.RecordBatch.from_arrays([pa.array(codes.view(np.int64)), texts], ["hash", "word"])
+        yield pa.RecordBatch.from_arrays([pa.array(hashes[at].view(np.int64)), texts], ["hash", "word"])
 
 
 def dictionary(texts: DataFrame) -> DataFrame:
