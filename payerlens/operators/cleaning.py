@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from payerlens.functions import null_aware_hash
+from payerlens.operators.key_bits import key_bits, with_bit
 from payerlens.schemas import (
     CLAIM_STATUSES,
     DATE_COLUMNS,
@@ -20,6 +21,7 @@ _VALID = "_valid"
 _RANK = "_survivor_rank"
 _ROW = "_row_number"
 _KEY_HASH = "_key_hash"
+_SEVERAL = "_several"
 REASONS, COPIES = "_reasons", "_copies"
 
 
@@ -109,16 +111,25 @@ def repeated_keys(df: DataFrame, key: str) -> DataFrame:
     return hashes.groupBy(_KEY_HASH).count().where("count > 1").select(_KEY_HASH)
 
 
-def keep_one_of_repeats(df: DataFrame, key: str, repeats: DataFrame, broadcast: bool) -> DataFrame:
-    """As ``keep_one_per_key``, but only rows of keys that repeat are shuffled.
+def split_repeats(df: DataFrame, key: str, repeats: DataFrame, broadcast: bool) -> tuple[DataFrame, DataFrame]:
+    """The rows of keys that occur once, and all others; rows without key are in neither.
 
     ``repeats`` is the stored result of ``repeated_keys``. It is sent to all tasks if
-    ``broadcast`` says that its size was checked; else it is joined by its hash.
+    ``broadcast`` says that its size was checked; else the bits of its hashes are, whatever
+    their number: some rows that occur once are then among the others, and no row of ``df`` is
+    shuffled to find out.
     """
     marked = df.where(F.col(key).isNotNull()).withColumn(_KEY_HASH, F.xxhash64(key))
-    found = F.broadcast(repeats) if broadcast else repeats
-    alone = marked.join(found, _KEY_HASH, "left_anti").drop(_KEY_HASH)
-    several = marked.join(found, _KEY_HASH, "left_semi").drop(_KEY_HASH)
+    if broadcast:
+        found = F.broadcast(repeats)
+        return tuple(marked.join(found, _KEY_HASH, kind).drop(_KEY_HASH) for kind in ("left_anti", "left_semi"))
+    screened = with_bit(marked, _KEY_HASH, key_bits(repeats, _KEY_HASH), _SEVERAL)
+    return tuple(screened.where(rows).drop(_KEY_HASH, _SEVERAL) for rows in (~F.col(_SEVERAL), F.col(_SEVERAL)))
+
+
+def keep_one_of_repeats(df: DataFrame, key: str, repeats: DataFrame, broadcast: bool) -> DataFrame:
+    """As ``keep_one_per_key``, but only the second part of ``split_repeats`` is shuffled."""
+    alone, several = split_repeats(df, key, repeats, broadcast)
     return alone.unionByName(keep_one_per_key(several, key))
 
 

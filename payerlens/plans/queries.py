@@ -34,7 +34,7 @@ from payerlens.plans.analyst_sql import run_sql
 from payerlens.plans.reports import FEEDS, FROM_PROFILE, REPORTS
 from payerlens.plans.workspace import shared_folder, store
 from payerlens.schemas import FACT_COLUMNS, FLAG, INPATIENT, MONEY, MONEY_COLUMNS, MONTH
-from payerlens.sources.order_feed import claims_feed
+from payerlens.sources.order_feed import claims_feed, order_lines
 from payerlens.sources.tables import (
     FACT,
     read_aggregate,
@@ -53,6 +53,12 @@ MOST_REPEATS = 2_000_000  # repeating claim ids, 16 MB of hashes, that are sent
 _NEEDS_FLAG = {"readmissions"}
 
 
+def _stored_feed(spark: SparkSession, tables: str, with_flag: bool = False) -> DataFrame:
+    """The feed on stored order lines: their joins run once, however often it is read."""
+    lines = store(order_lines(spark, tables), shared_folder(spark, "order-lines"))
+    return claims_feed(spark, tables, with_flag, lines)
+
+
 def _claims(spark: SparkSession, tables: str, with_flag: bool = False) -> DataFrame:
     return clean(claims_feed(spark, tables, with_flag))
 
@@ -118,8 +124,7 @@ def audit_of_rules(spark: SparkSession, tables: str) -> DataFrame:
 
 def clean_claims_two_phase(spark: SparkSession, tables: str) -> DataFrame:
     """The clean claims; only rows of claim ids that repeat are shuffled to find survivors."""
-    feed = claims_feed(spark, tables, with_flag=True)
-    claims = two_phase_claims(feed)
+    claims = two_phase_claims(_stored_feed(spark, tables, with_flag=True))
     return claims.select(
         *[dollars(F.col(c)).alias(c) if c in MONEY_COLUMNS else c for c in FACT_COLUMNS]
     )

@@ -39,9 +39,8 @@ CLAIM_TYPE_OF_LINE = [
 # ----------------------------------------------------------------------------
 
 
-def claims_feed(spark: SparkSession, tables: str, with_flag: bool = False) -> DataFrame:
-    """The 18 raw columns. Without ``with_flag`` the readmission flag is NULL,
-    which spares metrics that ignore it a join."""
+def order_lines(spark: SparkSession, tables: str) -> DataFrame:
+    """The lines with what a claim takes from their order, customer and part; no claim yet."""
 
     def table(name: str, *columns: str) -> DataFrame:
         return spark.read.parquet(f"{tables}/{name}.parquet").select(*columns)
@@ -58,9 +57,18 @@ def claims_feed(spark: SparkSession, tables: str, with_flag: bool = False) -> Da
         F.col("o_custkey") == F.col("c_custkey"),
     )
     parts = table("part", "p_partkey", "p_size")
-    joined = lines.join(parts, F.col("l_partkey") == F.col("p_partkey")).join(
+    return lines.join(parts, F.col("l_partkey") == F.col("p_partkey")).join(
         members, F.col("l_orderkey") == F.col("o_orderkey")
-    )
+    ).drop("p_partkey", "c_custkey", "o_orderkey")
+
+
+def claims_feed(
+    spark: SparkSession, tables: str, with_flag: bool = False, lines: DataFrame | None = None
+) -> DataFrame:
+    """The 18 raw columns. Without ``with_flag`` the readmission flag is NULL,
+    which spares metrics that ignore it a join. ``lines`` is a stored copy of
+    ``order_lines``, for those who read the feed several times."""
+    joined = order_lines(spark, tables) if lines is None else lines
     claims = _with_amounts(joined).selectExpr(*[f"{e} AS {c}" for c, e in _CLAIM.items()])
     if with_flag:
         claims = with_readmission_flag(claims)
