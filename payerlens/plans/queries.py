@@ -88,7 +88,7 @@ def readmission_flag(spark: SparkSession, tables: str) -> DataFrame:
 def load_path_partition(spark: SparkSession, tables: str) -> DataFrame:
     """Writes the fact by month, bulk-loads it with months from the paths, sums it up."""
     base = shared_folder(spark, "load_path_partition")
-    write_fact(_claims(spark, tables, with_flag=True), base)
+    write_fact(two_phase_claims(_stored_feed(spark, tables, with_flag=True)), base)
     loaded = read_fact_by_path(spark, table_path(base, FACT))
 
     def exact_total(name: str):

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from payerlens.operators.cleaning import REASONS, rule_counts
+from payerlens.operators.narrow_rows import rebalanced
 from payerlens.plans.workspace import shared_folder, store
 from payerlens.schemas import AGGREGATE_DDL, FACT_COLUMNS, FACT_SCHEMA, MONTH, RAW_COLUMNS, WAREHOUSE_SCHEMA
 from payerlens.sources.runs import run_folder, table_folder
@@ -36,9 +37,9 @@ def write_fact(claims: DataFrame, base: str) -> None:
     Rebalancing on the month brings each month's rows together, so a task does
     not open a file for every month; unlike ``repartition`` on the month it
     splits a large month over many tasks, each with one file of the advisory
-    partition size.
+    partition size. In the shuffle the text of a row is one value.
     """
-    _write_months(claims.hint("rebalance", MONTH), base)
+    _write_months(rebalanced(claims, MONTH), base)
 
 
 def _write_months(claims: DataFrame, base: str) -> None:
@@ -53,7 +54,7 @@ def write_audited_fact(survivors: DataFrame, base: str) -> dict[str, int]:
     count once. The rejected rows go no further than that stage.
     """
     counts = Observation("rules")
-    observed = survivors.hint("rebalance", MONTH).observe(counts, *rule_counts())
+    observed = rebalanced(survivors, MONTH).observe(counts, *rule_counts())
     _write_months(observed.where(F.col(REASONS) == 0).select(*FACT_COLUMNS), base)
     return counts.get
 

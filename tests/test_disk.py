@@ -1,14 +1,19 @@
 """What the large queries shuffle: no more than the work needs, and the same rows as before."""
 
+import hashlib
 import random
 
 import pytest
 from conftest import TABLES, plan_of
+from pyspark.sql import functions as F
 
 from payerlens.operators.cleaning import clean, clean_repeats, repeated_keys
 from payerlens.operators.key_bits import key_bits, with_bit
+from payerlens.operators.narrow_rows import rebalanced
 from payerlens.operators.reconcile import row_differences
+from payerlens.plans import queries
 from payerlens.plans.queries import QUERIES, two_phase_claims
+from payerlens.schemas import MONTH
 from payerlens.sources.order_feed import claims_feed, order_lines
 
 
@@ -58,3 +63,58 @@ def test_stored_lines_give_the_same_feed(spark):
 def test_two_phases_join_the_lines_once(spark):
     plan = plan_of(QUERIES["clean_claims_two_phase"](spark, TABLES))
     assert "l_partkey" in plan and "p_partkey" not in plan and "o_orderkey" not in plan
+
+
+def shuffled_bytes(frame):
+    """Bytes of the exchanges that an executed plan has written."""
+    frame.collect()
+    found, nodes = 0, [frame._jdf.queryExecution().executedPlan()]
+    while nodes:
+        node = nodes.pop()
+        if node.nodeName() == "AdaptiveSparkPlan":
+            nodes.append(node.executedPlan())
+            continue
+        if "QueryStage" in node.nodeName():
+            nodes.append(node.plan())
+            continue
+        metric = node.metrics().get("shuffleBytesWritten")
+        if metric.isDefined():
+            found += metric.get().value()
+        children = node.children()
+        nodes += [children.apply(i) for i in range(children.size())]
+    return found
+
+
+def test_rows_come_back_from_the_shuffle_as_they_were(claims):
+    odd = [
+        {"claim_id": "0af3", "member_id": None}, {"claim_id": "0AF3", "denial_reason": ""}, {"claim_id": "abc"},
+        {"claim_id": ""}, {"claim_id": "x y", "provider_type": "a\x1fb"}, {"claim_id": "ff", "plan_type": "\x00"},
+        {"claim_id": None, "member_state": "ü", "provider_id": None}, {"claim_id": "\x1f"}, {"claim_id": "ff", "plan_type": "\x00"},
+    ]
+    fact = claims(*odd)
+    broken = fact.limit(1).withColumn("plan_type", F.expr("CAST(X'FF41' AS STRING)"))
+    for frame in (fact, broken, fact.limit(0), fact.select(MONTH, "paid_amount"), fact.select("plan_type", "member_id", MONTH)):
+        sent = rebalanced(frame, MONTH)
+        assert sent.schema == frame.schema or [(f.name, f.dataType) for f in sent.schema] == [(f.name, f.dataType) for f in frame.schema]
+        assert row_differences(sent, frame).count() == 0
+    assert rebalanced(broken, MONTH).select(F.hex("plan_type")).first()[0] == "FF41"
+
+
+def test_months_take_fewer_bytes_in_the_shuffle(spark, feed):
+    fact = clean(feed(*[
+        {"claim_id": hashlib.md5(str(i).encode()).hexdigest(), "member_id": f"MBR-{i % 97}", "provider_id": f"PRV-{i % 13}",
+         "plan_type": ["HMO", "PPO", "EPO"][i % 3], "member_state": ["CA", "TX"][i % 2], "paid_amount": str(i % 371)} for i in range(4000)
+    ])).localCheckpoint()
+    assert shuffled_bytes(rebalanced(fact, MONTH)) < 0.8 * shuffled_bytes(fact.hint("rebalance", MONTH))
+
+
+@pytest.mark.parametrize("name", ["load_path_partition"])
+def test_a_fact_of_once_joined_lines(spark, name):
+    joined = []
+    original = queries.claims_feed
+    try:
+        queries.claims_feed = lambda spark, tables, with_flag=False, lines=None: joined.append(lines) or original(spark, tables, with_flag, lines)
+        QUERIES[name](spark, TABLES)
+    finally:
+        queries.claims_feed = original
+    assert joined and all(lines is not None for lines in joined)
