@@ -27,6 +27,7 @@ from payerlens.operators.member_sets import (
     spend_from_sets,
 )
 from payerlens.operators.members import flag_inpatient, readmission_days
+from payerlens.operators.narrow_rows import rebalanced
 from payerlens.operators.providers import provider_profile
 from payerlens.operators.reconcile import range_digests, reconcile, reconcile_sides
 from payerlens.operators.spend import monthly_spend
@@ -185,14 +186,13 @@ def reconcile_three_sides(spark: SparkSession, tables: str) -> DataFrame:
 def load_mixed_files(spark: SparkSession, tables: str) -> DataFrame:
     """Three files of differing types in each month's directory, loaded together and summed up."""
     path = shared_folder(spark, "load_mixed_files")
-    claims = store(_claims(spark, tables), f"{path}/claims")
+    claims = store(two_phase_claims(_stored_feed(spark, tables)), f"{path}/claims")
     kinds = {0: "double", 1: "string", 2: "decimal(20,4)"}
     for part, money in kinds.items():
-        (
-            claims.where(F.pmod(F.xxhash64("claim_id"), F.lit(len(kinds))) == part)
-            .withColumns({c: F.col(c).cast(money) for c in MONEY_COLUMNS})
-            .hint("rebalance", MONTH).write.mode("append").partitionBy(MONTH).parquet(f"{path}/staged")
+        third = claims.where(F.pmod(F.xxhash64("claim_id"), F.lit(len(kinds))) == part).withColumns(
+            {c: F.col(c).cast(money) for c in MONEY_COLUMNS}
         )
+        rebalanced(third, MONTH).write.mode("append").partitionBy(MONTH).parquet(f"{path}/staged")
     loaded = read_fact_by_path(spark, f"{path}/staged")
     return loaded.groupBy(MONTH).agg(
         F.count("*").alias("claim_count"),

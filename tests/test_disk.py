@@ -108,7 +108,7 @@ def test_months_take_fewer_bytes_in_the_shuffle(spark, feed):
     assert shuffled_bytes(rebalanced(fact, MONTH)) < 0.8 * shuffled_bytes(fact.hint("rebalance", MONTH))
 
 
-@pytest.mark.parametrize("name", ["load_path_partition"])
+@pytest.mark.parametrize("name", ["load_path_partition", "load_mixed_files"])
 def test_a_fact_of_once_joined_lines(spark, name):
     joined = []
     original = queries.claims_feed
