@@ -160,12 +160,25 @@ def survivors_with_reasons(feed: DataFrame) -> DataFrame:
     result knows the size of the feed. Rows without claim id are one row that fails.
     The grouping combines on the map side: a hot claim id sends one row from each task.
     """
-    parsed = parse_with_reasons(feed)
+    return _survivors(parse_with_reasons(feed))
+
+
+def _survivors(parsed: DataFrame) -> DataFrame:
     best = F.min_by(F.struct(*parsed.columns), F.struct(_rank(), F.col(REASONS)))
     one = parsed.groupBy("claim_id").agg(F.count("*").alias(COPIES), best.alias("_best"))
     return _with_month(one.select("_best.*", COPIES)).select(*FACT_COLUMNS, REASONS, COPIES)
 
 
+def survivors_of_repeats(feed: DataFrame, repeats: DataFrame, broadcast: bool) -> tuple[DataFrame, DataFrame]:
+    """What ``survivors_with_reasons`` gives of the rows with claim id, in the two parts of ``split_repeats``.
+
+    Only the second part is shuffled; whoever reads the survivors several times stores it.
+    """
+    alone, several = split_repeats(parse_with_reasons(feed), "claim_id", repeats, broadcast)
+    once = _with_month(alone).withColumn(COPIES, F.lit(1).cast("long"))
+    return once.select(*FACT_COLUMNS, REASONS, COPIES), _survivors(several)
+
+
 def rule_counts() -> list[Column]:
     """Aggregates over survivors with reasons: rows of the feed, clean claims, rejects by rule."""
     claims = F.col("claim_id").isNotNull()

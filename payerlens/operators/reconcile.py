@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from payerlens.operators.key_bits import key_bits, with_bit
+
 
 def row_differences(left: DataFrame, right: DataFrame) -> DataFrame:
     """Rows whose number of copies differs, with the copies on each side.
@@ -51,8 +53,8 @@ def _copies(left: DataFrame, right: DataFrame) -> DataFrame:
 LEAVES, FANOUT = 4096, 16  # of the tree of hashes: three levels
 
 
-def _hash(columns: list[str], seed: int = 0) -> Column:
-    return F.xxhash64(F.lit(seed), *[v for c in columns for v in (F.col(c), F.col(c).isNull())])
+def _hash(columns: list[str], seed: int | Column = 0) -> Column:
+    return F.xxhash64(seed if isinstance(seed, Column) else F.lit(seed), *[v for c in columns for v in (F.col(c), F.col(c).isNull())])
 
 
 def range_digests(sides: dict[str, DataFrame], keys: list[str]) -> DataFrame:
@@ -99,12 +101,49 @@ def differing_leaves(digests: DataFrame, n_sides: int) -> DataFrame:
     return node.withColumnRenamed("differing", "leaf")
 
 
+def side_classes(digests: DataFrame, leaves: DataFrame, names: list[str]) -> DataFrame:
+    """(leaf, classes) of the differing ranges: which sides hold the same there.
+
+    ``classes[i]`` is the first of the sides that hold what side i holds, or nothing as side i
+    does; ``classes[n + i]`` is the next such first side, the lowest one after the highest.
+    """
+    sides = range(len(names))
+    held = [F.max(F.when(F.col("side") == name, F.struct("rows", "digest"))).alias(f"held_{i}") for i, name in enumerate(names)]
+    ranges = digests.join(F.broadcast(leaves), "leaf", "left_semi").groupBy("leaf").agg(*held)
+    same = lambda i, j: F.col(f"held_{i}").eqNullSafe(F.col(f"held_{j}"))
+    firsts = ranges.select(
+        "leaf", F.array(*[F.coalesce(*[F.when(same(i, j), j) for j in range(i)], F.lit(i)) for i in sides]).alias("firsts")
+    ).withColumn("distinct", F.sort_array(F.array_distinct("firsts")))
+    after = F.transform("firsts", lambda f: F.coalesce(
+        F.get("distinct", F.array_position("distinct", f).cast("int")), F.get("distinct", F.lit(0))))
+    return firsts.select("leaf", F.concat("firsts", after).alias("classes"))
+
+
+def _differing_keys(parts: list[DataFrame], columns: list[str]) -> DataFrame:
+    """(_key) of the key hashes whose rows differ between the classes of sides of their range.
+
+    Each class adds, for each of its rows, a hash of its own minus that of the next class. Over
+    all classes these cancel out where they hold the same rows equally often. 16 bytes a row are shuffled.
+    """
+    n = len(parts)
+    mark = lambda seed: F.shiftright(_hash(columns, seed + 2), 9)
+    marks = [
+        part.select("_key", (mark(F.lit(i)) - mark(F.col("classes")[n + i])).alias("mark"))
+        for i, part in enumerate(parts)
+    ]
+    # A sum too large for 64 bits is NULL: its rows are compared.
+    sums = reduce(DataFrame.unionByName, marks).groupBy("_key").agg(F.try_sum("mark").alias("mark"))
+    return sums.where("mark IS NULL OR mark <> 0").select("_key")
+
+
 def reconcile_sides(sides: dict[str, DataFrame], keys: list[str], digests: DataFrame | None = None) -> DataFrame:
     """(side, total_rows, compared_rows, agreeing_rows, differing_rows) of any number of sides.
 
-    A row agrees if all sides hold it equally often. Only rows in differing ranges are
-    compared, all sides in one grouping; if the sides agree, no row is moved. ``digests`` is
-    the stored result of ``range_digests``, which is read more than once.
+    A row agrees if all sides hold it equally often. In a differing range one side stands for
+    all that hold the same, and the hashes of single keys are the last level of the tree: only
+    rows of keys that differ are compared, all sides in one grouping. If the sides agree, no row
+    is moved. ``digests`` is the stored result of ``range_digests``, which is read more than once;
+    what differs of it, a row a range, is in the plan.
     """
     names = list(sides)
     columns = sorted(sides[names[0]].columns)
@@ -112,15 +151,27 @@ def reconcile_sides(sides: dict[str, DataFrame], keys: list[str], digests: DataF
         if sorted(sides[name].columns) != columns:
             raise ValueError(f"columns differ: {columns} and {sorted(sides[name].columns)} of {name}")
     digests = range_digests(sides, keys) if digests is None else digests
-    leaves = differing_leaves(digests, len(names))
-    leaf = F.pmod(_hash(keys), F.lit(LEAVES)).cast("int")
+    found = side_classes(digests, differing_leaves(digests, len(names)), names).collect()  # 4,096 rows at most
+    classes = F.broadcast(digests.sparkSession.createDataFrame(found, "leaf int, classes array<int>"))
+    parts = [
+        side.select(*columns, _hash(keys).alias("_key"))
+        .withColumn("leaf", F.pmod("_key", F.lit(LEAVES)).cast("int"))
+        .join(classes, "leaf").where(F.col("classes")[i] == i)
+        for i, side in enumerate(sides.values())
+    ]
+    bits = key_bits(_differing_keys(parts, columns), "_key")
     tagged = [
-        side.select(*columns, *[F.lit(int(n == name)).alias(f"_copies_{i}") for i, n in enumerate(names)])
-        .withColumn("leaf", leaf).join(F.broadcast(leaves), "leaf", "left_semi")
-        for name, side in sides.items()
+        with_bit(part, "_key", bits, "_differs").where("_differs")
+        .select("leaf", *columns, *[F.lit(int(j == i)).alias(f"_own_{j}") for j in range(len(names))])
+        for i, part in enumerate(parts)
     ]
     copies = [f"_copies_{i}" for i in range(len(names))]
-    compared = reduce(DataFrame.unionByName, tagged).groupBy(*columns).agg(*[F.sum(c).alias(c) for c in copies])
+    own = reduce(DataFrame.unionByName, tagged).groupBy("leaf", *columns).agg(
+        F.array(*[F.sum(f"_own_{i}") for i in range(len(names))]).alias("_own")
+    )
+    compared = own.join(classes, "leaf").select(
+        *[F.get("_own", F.col("classes")[i]).alias(c) for i, c in enumerate(copies)]
+    )
     agrees = F.lit(True)
     for c in copies[1:]:
         agrees = agrees & (F.col(c) == F.col(copies[0]))

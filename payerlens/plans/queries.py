@@ -16,7 +16,7 @@ from payerlens.operators.cleaning import (
     clean_repeats,
     keep_one_per_key,
     repeated_keys,
-    survivors_with_reasons,
+    survivors_of_repeats,
 )
 from payerlens.operators.member_sets import (
     member_sets,
@@ -132,8 +132,13 @@ def clean_claims_two_phase(spark: SparkSession, tables: str) -> DataFrame:
 
 
 def two_phase_claims(feed: DataFrame, most_broadcast: int = MOST_REPEATS) -> DataFrame:
+    return clean_repeats(feed, *_repeats(feed, most_broadcast))
+
+
+def _repeats(feed: DataFrame, most_broadcast: int) -> tuple[DataFrame, bool]:
+    """The stored hashes of repeating claim ids, and whether they are few enough to be broadcast."""
     repeats = store(repeated_keys(feed, "claim_id"), shared_folder(feed.sparkSession, "repeated-claims"))
-    return clean_repeats(feed, repeats, broadcast=repeats.count() <= most_broadcast)
+    return repeats, repeats.count() <= most_broadcast
 
 
 def _member_tables(spark: SparkSession, tables: str) -> tuple[DataFrame, DataFrame]:
@@ -166,8 +171,9 @@ def reconcile_three_sides(spark: SparkSession, tables: str) -> DataFrame:
     The feed counts each distinct claim id once, whatever the rules say of it.
     """
     base = shared_folder(spark, "reconcile_three_sides")
-    feed = claims_feed(spark, tables)
-    survivors = store(survivors_with_reasons(feed).where("claim_id IS NOT NULL"), table_path(base, "survivors"))
+    feed = _stored_feed(spark, tables)
+    alone, several = survivors_of_repeats(feed, *_repeats(feed, MOST_REPEATS))
+    survivors = alone.unionByName(store(several, table_path(base, "survivors")))
     write_fact(survivors.where("_reasons = 0").select(*FACT_COLUMNS), base)
     amounts = [F.col(c).cast(MONEY).alias(c) for c in ("billed_amount", "paid_amount")]
     sides = {

@@ -2,15 +2,16 @@
 
 import hashlib
 import random
+from collections import Counter
 
 import pytest
 from conftest import TABLES, plan_of
 from pyspark.sql import functions as F
 
-from payerlens.operators.cleaning import clean, clean_repeats, repeated_keys
+from payerlens.operators.cleaning import clean, clean_repeats, repeated_keys, survivors_of_repeats, survivors_with_reasons
 from payerlens.operators.key_bits import key_bits, with_bit
 from payerlens.operators.narrow_rows import rebalanced
-from payerlens.operators.reconcile import row_differences
+from payerlens.operators.reconcile import reconcile_sides, row_differences
 from payerlens.plans import queries
 from payerlens.plans.queries import QUERIES, two_phase_claims
 from payerlens.schemas import MONTH
@@ -108,7 +109,7 @@ def test_months_take_fewer_bytes_in_the_shuffle(spark, feed):
     assert shuffled_bytes(rebalanced(fact, MONTH)) < 0.8 * shuffled_bytes(fact.hint("rebalance", MONTH))
 
 
-@pytest.mark.parametrize("name", ["load_path_partition", "load_mixed_files"])
+@pytest.mark.parametrize("name", ["load_path_partition", "load_mixed_files", "reconcile_three_sides"])
 def test_a_fact_of_once_joined_lines(spark, name):
     joined = []
     original = queries.claims_feed
@@ -118,3 +119,42 @@ def test_a_fact_of_once_joined_lines(spark, name):
     finally:
         queries.claims_feed = original
     assert joined and all(lines is not None for lines in joined)
+
+
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_survivors_in_two_parts(spark, feed, broadcast):
+    draw = random.Random(9)
+    raw = feed(*[
+        {"claim_id": draw.choice([f"c{draw.randint(0, 30)}", f"d{i}", None]), "paid_amount": str(draw.randint(0, 9)),
+         "billed_amount": draw.choice(["5", "-1", "x"]), "member_id": draw.choice(["m", None])} for i in range(300)
+    ]).repartition(5)
+    alone, several = survivors_of_repeats(raw, repeated_keys(raw, "claim_id"), broadcast)
+    assert row_differences(alone.unionByName(several), survivors_with_reasons(raw).where("claim_id IS NOT NULL")).count() == 0
+    assert several.count() <= 31
+
+
+def sided(spark, values):
+    return spark.createDataFrame(values, "k string, v double")
+
+
+def test_sides_against_brute_force(spark):
+    """Equal and unequal sides in any combination, repeated rows, missing keys, an empty side."""
+    draw = random.Random(4)
+    base = [(draw.choice([f"k{i}", f"k{i % 50}", None]), float(draw.randint(0, 3))) for i in range(600)]
+    changed = [(k, v + (draw.random() < 0.1)) for k, v in base if draw.random() < 0.9]
+    fewer = [r for r in base if draw.random() < 0.5]
+    for chosen in ((base, changed), (base, changed, changed), (changed, base, changed, fewer), (base, [], base), ([("a", 1.0)] * 300, [])):
+        sides = {f"s{i}": sided(spark, rows).repartition(3) for i, rows in enumerate(chosen)}
+        counts = [Counter(rows) for rows in chosen]
+        agree = sum(n for r, n in counts[0].items() if all(c[r] == n for c in counts))
+        got = {r["side"]: (r["total_rows"], r["agreeing_rows"], r["differing_rows"]) for r in reconcile_sides(sides, ["k"]).collect()}
+        assert got == {f"s{i}": (len(rows), agree, len(rows) - agree) for i, rows in enumerate(chosen)}
+
+
+def test_only_keys_that_differ_are_compared(spark):
+    """Every third range differs, but few keys do."""
+    base = [(f"k{i}", float(i)) for i in range(16000)]
+    without = [r for r in base if r[1] % 10]
+    got = reconcile_sides({n: sided(spark, r) for n, r in (("a", base), ("b", without), ("c", without))}, ["k"]).collect()
+    found = {r["side"]: r["compared_rows"] for r in got}
+    assert 1600 <= found["a"] <= 1610 and found["b"] == found["c"] <= 10
